@@ -19,14 +19,15 @@ def round_half_away(col: Column | str, scale: int) -> Column:
     return F.round(c * F.lit(factor), 0) / F.lit(factor)
 
 
-def exact_sum(col: Column | str) -> Column:
+def exact_sum(col: Column | str, scale: int = 5) -> Column:
     """Order-independent sum of a double money column, returned as double.
 
     Summing doubles depends on the order rows meet in partial aggregates;
-    summing a wide decimal does not. Inputs here carry at most five decimals.
+    summing a decimal does not. ``scale`` must cover the decimals of the inputs
+    (money columns here are products of 2- and 3-decimal values: 5 suffice).
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast("decimal(38,10)")).cast("double")
+    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double")
 
 
 def count_where(cond: Column) -> Column:

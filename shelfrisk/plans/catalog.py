@@ -9,9 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shelfrisk.functions import scores
+from shelfrisk.operators import insights, risk, serving, velocity
 from shelfrisk.plans.warehouse import Warehouse
 
+# Dashboard slice used by the slice queries (regions and categories present in
+# the driver tables).
+SLICE_REGIONS = ("AMERICA", "EUROPE")
+SLICE_CATEGORIES = ("LARGE", "MEDIUM", "SMALL")
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
@@ -33,3 +41,225 @@ def risk_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def risk_gold_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold risk rows with a 14-day window and a 0.5 spoilage threshold."""
     return Warehouse(spark, sf_dir).gold(window_days=14, threshold=0.5)
+
+
+# --------------------------------------------------------------------------- #
+# Staging and marts
+# --------------------------------------------------------------------------- #
+@query("stg_stores")
+def stg_stores(spark, sf_dir):
+    return Warehouse(spark, sf_dir).stores
+
+
+@query("stg_products")
+def stg_products(spark, sf_dir):
+    return Warehouse(spark, sf_dir).products
+
+
+@query("stg_suppliers")
+def stg_suppliers(spark, sf_dir):
+    return Warehouse(spark, sf_dir).suppliers
+
+
+@query("stg_shelf_life")
+def stg_shelf_life(spark, sf_dir):
+    return Warehouse(spark, sf_dir).shelf_life
+
+
+@query("stg_date")
+def stg_date(spark, sf_dir):
+    return Warehouse(spark, sf_dir).dates
+
+
+@query("stg_sales")
+def stg_sales(spark, sf_dir):
+    return Warehouse(spark, sf_dir).sales
+
+
+@query("stg_inventory")
+def stg_inventory(spark, sf_dir):
+    return Warehouse(spark, sf_dir).inventory
+
+
+@query("dim_product")
+def dim_product(spark, sf_dir):
+    return Warehouse(spark, sf_dir).dim_product
+
+
+@query("sell_through")
+def sell_through_q(spark, sf_dir):
+    """Dense spine with sales joined and the 7-row trailing mean."""
+    return Warehouse(spark, sf_dir).velocity()
+
+
+@query("sell_through_dense")
+def sell_through_dense(spark, sf_dir):
+    """Dense spine with zero-filled daily units (no window)."""
+    w = Warehouse(spark, sf_dir)
+    return velocity.dense_sales(w.inventory, w.sales)
+
+
+@query("densify_spine")
+def densify_spine(spark, sf_dir):
+    """Sales series gap-filled between each pair's first and last sale day."""
+    w = Warehouse(spark, sf_dir)
+    s = w.sales.select("store_id", "product_id", "sale_date", "units_sold")
+    return velocity.densify(s, ["store_id", "product_id"], "sale_date", {"units_sold": 0})
+
+
+@query("price_lookup")
+def price_lookup(spark, sf_dir):
+    """Sales priced from the product catalogue (distinct id -> price lookup)."""
+    w = Warehouse(spark, sf_dir)
+    prices = w.products.select("product_id", F.col("unit_price").alias("catalog_price")).distinct()
+    s = w.sales.join(prices, "product_id", "left")
+    return s.select("store_id", "product_id", "sale_date", "units_sold", "catalog_price",
+                    (F.col("units_sold") * F.col("catalog_price")).alias("catalog_value"),
+                    (F.col("unit_price") == F.col("catalog_price")).alias("price_matches"))
+
+
+@query("spoilage_score")
+def spoilage_score_q(spark, sf_dir):
+    """Raw (unrounded) spoilage score on every velocity row."""
+    w = Warehouse(spark, sf_dir)
+    attrs = risk.product_attributes(w.products, w.suppliers, w.shelf_life)
+    v = w.velocity().join(attrs, "product_id")
+    days = scores.days_remaining_shelf_life("shelf_life_days", "oldest_batch_age_days")
+    return v.select("store_id", "product_id", "snapshot_date",
+                    scores.spoilage_risk_score("on_hand_qty", "trailing_avg_daily_sell_through",
+                                               days).alias("spoilage_risk_raw"))
+
+
+@query("stockout_score")
+def stockout_score_q(spark, sf_dir):
+    """Raw (unrounded) stockout score on every velocity row."""
+    w = Warehouse(spark, sf_dir)
+    attrs = risk.product_attributes(w.products, w.suppliers, w.shelf_life)
+    v = w.velocity().join(attrs, "product_id")
+    return v.select("store_id", "product_id", "snapshot_date",
+                    scores.stockout_risk_score("on_hand_qty", "trailing_avg_daily_sell_through",
+                                               "lead_time_days").alias("stockout_risk_raw"))
+
+
+# --------------------------------------------------------------------------- #
+# Serving
+# --------------------------------------------------------------------------- #
+def _enriched(spark, sf_dir, newest_only=False, ordered=False):
+    w = Warehouse(spark, sf_dir)
+    return serving.enriched_rows(w.gold(), w.products, w.stores, newest_only=newest_only,
+                                 ordered=ordered)
+
+
+@query("serve_enriched_day")
+def serve_enriched_day(spark, sf_dir):
+    """Enriched risk rows of the newest day, in dashboard order."""
+    return _enriched(spark, sf_dir, newest_only=True, ordered=True)
+
+
+@query("serve_slice")
+def serve_slice(spark, sf_dir):
+    """Newest day sliced to two regions and three categories."""
+    return serving.slice_rows(_enriched(spark, sf_dir, newest_only=True),
+                              SLICE_REGIONS, SLICE_CATEGORIES)
+
+
+@query("kpis")
+def kpis_q(spark, sf_dir):
+    """KPI row over every enriched risk row."""
+    return serving.kpis(_enriched(spark, sf_dir))
+
+
+@query("kpis_day_slice")
+def kpis_day_slice(spark, sf_dir):
+    """KPI row for the dashboard's default view: newest day, sliced."""
+    return serving.kpis(serving.slice_rows(_enriched(spark, sf_dir, newest_only=True),
+                                           SLICE_REGIONS, SLICE_CATEGORIES))
+
+
+@query("flags_by_region")
+def flags_by_region(spark, sf_dir):
+    return serving.flags_by_dimension(_enriched(spark, sf_dir), "region")
+
+
+@query("flags_by_category")
+def flags_by_category(spark, sf_dir):
+    return serving.flags_by_dimension(_enriched(spark, sf_dir), "category")
+
+
+@query("flags_by_store")
+def flags_by_store(spark, sf_dir):
+    return serving.flags_by_dimension(_enriched(spark, sf_dir), "store_name")
+
+
+@query("top_stockouts")
+def top_stockouts(spark, sf_dir):
+    """Newest day's 25 stockouts losing the most revenue per day."""
+    return serving.top_risks(_enriched(spark, sf_dir, newest_only=True), "STOCKOUT", 25)
+
+
+@query("top_spoilage")
+def top_spoilage(spark, sf_dir):
+    """Newest day's 25 spoilage risks with the largest write-off at stake."""
+    return serving.top_risks(_enriched(spark, sf_dir, newest_only=True), "SPOILAGE", 25)
+
+
+@query("daily_trend")
+def daily_trend(spark, sf_dir):
+    return serving.daily_trend(Warehouse(spark, sf_dir).gold())
+
+
+@query("trend_pivot")
+def trend_pivot(spark, sf_dir):
+    return serving.trend_pivot(serving.daily_trend(Warehouse(spark, sf_dir).gold()))
+
+
+@query("available_dates")
+def available_dates(spark, sf_dir):
+    return serving.available_dates(Warehouse(spark, sf_dir).gold())
+
+
+@query("filter_values")
+def filter_values(spark, sf_dir):
+    return serving.filter_values(_enriched(spark, sf_dir, newest_only=True))
+
+
+@query("flag_distribution")
+def flag_distribution(spark, sf_dir):
+    return serving.flag_distribution(Warehouse(spark, sf_dir).gold())
+
+
+# --------------------------------------------------------------------------- #
+# Inventory insights
+# --------------------------------------------------------------------------- #
+@query("signal_summary")
+def signal_summary(spark, sf_dir):
+    w = Warehouse(spark, sf_dir)
+    return insights.signal_summary(w.inventory, w.sales)
+
+
+@query("table_counts")
+def table_counts(spark, sf_dir):
+    w = Warehouse(spark, sf_dir)
+    return insights.table_counts({
+        "dim_store": w.stores, "dim_product": w.products, "dim_supplier": w.suppliers,
+        "dim_shelf_life": w.shelf_life, "dim_date": w.dates, "fact_sales": w.sales,
+        "fact_inventory_snapshot": w.inventory,
+    })
+
+
+@query("aging_stock")
+def aging_stock(spark, sf_dir):
+    return insights.aging_stock(Warehouse(spark, sf_dir).inventory)
+
+
+@query("spoilage_by_category")
+def spoilage_by_category(spark, sf_dir):
+    w = Warehouse(spark, sf_dir)
+    return insights.spoilage_by_category(w.inventory, w.products, w.shelf_life)
+
+
+@query("spoilage_extremes")
+def spoilage_extremes(spark, sf_dir):
+    w = Warehouse(spark, sf_dir)
+    return insights.spoilage_extremes(
+        insights.spoilage_by_category(w.inventory, w.products, w.shelf_life))
