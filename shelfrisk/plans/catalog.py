@@ -11,9 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import datetime as dt
+
 from shelfrisk.functions import scores
-from shelfrisk.operators import insights, risk, serving, velocity
+from shelfrisk.operators import conform, insights, risk, serving, velocity
 from shelfrisk.plans.warehouse import Warehouse
+from shelfrisk.session import scratch_path
+from shelfrisk.sources import domain, lake, schemas
+
+LAST_SEASON_DAY = (domain.SEASON_START + dt.timedelta(days=domain.SEASON_DAYS - 1)).isoformat()
 
 # Dashboard slice used by the slice queries (regions and categories present in
 # the driver tables).
@@ -263,3 +269,68 @@ def spoilage_extremes(spark, sf_dir):
     w = Warehouse(spark, sf_dir)
     return insights.spoilage_extremes(
         insights.spoilage_by_category(w.inventory, w.products, w.shelf_life))
+
+
+# --------------------------------------------------------------------------- #
+# Conform, SCD2 and the lake
+# --------------------------------------------------------------------------- #
+CONFORM_COLUMNS = ("supplier_id", "supplier_name", "lead_time_days", "reliability",
+                   "extract_ts", "load_date")
+LOAD_DATE = "2026-07-05"
+
+
+@query("supplier_conform")
+def supplier_conform(spark, sf_dir):
+    """Dirty supplier extract -> clean, valid, latest row per supplier."""
+    w = Warehouse(spark, sf_dir)
+    return conform.conform_suppliers(w.raw_supplier_extract, LOAD_DATE).select(*CONFORM_COLUMNS)
+
+
+@query("csv_roundtrip")
+def csv_roundtrip(spark, sf_dir):
+    """The extract written as headered CSV, read back as strings, conformed."""
+    w = Warehouse(spark, sf_dir)
+    path = scratch_path(spark, "supplier-extract-csv")
+    lake.write_extract_csv(w.raw_supplier_extract, path)
+    raw = lake.read_extract(spark, path, schemas.RAW_SUPPLIER_EXTRACT)
+    out = conform.conform_suppliers(raw, LOAD_DATE)
+    return out.select(*CONFORM_COLUMNS,
+                      F.col("source_file").endswith(".csv").alias("source_file_captured"))
+
+
+@query("partition_reload")
+def partition_reload(spark, sf_dir):
+    """Two daily loads, then a reload of the first: both days must survive."""
+    w = Warehouse(spark, sf_dir)
+    path = scratch_path(spark, "bronze-suppliers")
+    for day in (LOAD_DATE, "2026-07-06", LOAD_DATE):
+        lake.write_partitioned(conform.conform_suppliers(w.raw_supplier_extract, day)
+                               .select(*CONFORM_COLUMNS), path, ["load_date"])
+    # Partition values come back type-inferred (a DATE here); restore the declared text.
+    back = lake.read_partitions(spark, path)
+    return back.withColumn("load_date", F.col("load_date").cast("string")).select(*CONFORM_COLUMNS)
+
+
+@query("partition_prune")
+def partition_prune(spark, sf_dir):
+    """Snapshot written partitioned by day; one day read back (folder pruning)."""
+    w = Warehouse(spark, sf_dir)
+    path = scratch_path(spark, "bronze-inventory")
+    snap = w.inventory.withColumn("dt", F.col("snapshot_date").cast("string"))
+    lake.write_partitioned(snap, path, ["dt"], sort_cols=["store_id", "product_id"])
+    day = F.col("dt") == F.lit(LAST_SEASON_DAY)
+    return lake.read_partitions(spark, path, day).select(*schemas.INVENTORY_COLUMNS)
+
+
+@query("scd2_build")
+def scd2_build(spark, sf_dir):
+    """Type-2 shelf-life history from the dirty revision extract."""
+    w = Warehouse(spark, sf_dir)
+    return conform.build_scd2(w.raw_shelf_life_extract).orderBy("product_id", "effective_from")
+
+
+@query("scd2_current")
+def scd2_current(spark, sf_dir):
+    """Shelf life in force today (one row per product)."""
+    return (Warehouse(spark, sf_dir).shelf_life.where(F.col("is_current"))
+            .select("product_id", "shelf_life_days", "effective_from"))
