@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import datetime as dt
 
 from shelfrisk.functions import scores
-from shelfrisk.operators import conform, insights, risk, serving, velocity
+from shelfrisk.operators import conform, insights, quality, risk, serving, velocity
 from shelfrisk.plans.warehouse import Warehouse
 from shelfrisk.session import scratch_path
 from shelfrisk.sources import domain, lake, schemas
@@ -334,3 +334,148 @@ def scd2_current(spark, sf_dir):
     """Shelf life in force today (one row per product)."""
     return (Warehouse(spark, sf_dir).shelf_life.where(F.col("is_current"))
             .select("product_id", "shelf_life_days", "effective_from"))
+
+
+# --------------------------------------------------------------------------- #
+# Data quality
+# --------------------------------------------------------------------------- #
+@query("dq_not_null")
+def dq_not_null(spark, sf_dir):
+    w = Warehouse(spark, sf_dir)
+    nn = lambda *cols: {f"not_null({c})": quality.is_null(c) for c in cols}
+    return quality.union_all([
+        quality.row_checks(w.gold(), "perishables_risk",
+                           nn("store_id", "product_id", "snapshot_date", "risk_flag",
+                              "spoilage_risk_score", "stockout_risk_score")),
+        quality.row_checks(w.stores, "dim_store", nn("store_id", "region")),
+        quality.row_checks(w.products, "dim_product", nn("product_id", "category")),
+        quality.row_checks(w.suppliers, "dim_supplier", nn("supplier_id", "lead_time_days")),
+        quality.row_checks(w.shelf_life, "dim_shelf_life", nn("product_id", "shelf_life_days")),
+        quality.row_checks(w.dates, "dim_date", nn("date_day")),
+    ])
+
+
+@query("dq_unique")
+def dq_unique(spark, sf_dir):
+    w = Warehouse(spark, sf_dir)
+    return quality.union_all([
+        quality.unique(w.stores, "dim_store", ["store_id"]),
+        quality.unique(w.products, "dim_product", ["product_id"]),
+        quality.unique(w.suppliers, "dim_supplier", ["supplier_id"]),
+        quality.unique(w.dates, "dim_date", ["date_day"]),
+        quality.unique(conform.clean_suppliers(w.raw_supplier_extract), "raw_supplier_extract",
+                       ["supplier_id"]),
+    ])
+
+
+@query("dq_unique_grain")
+def dq_unique_grain(spark, sf_dir):
+    """Gold rows sharing a (store, product, day) grain."""
+    return quality.violating_duplicates(Warehouse(spark, sf_dir).gold(), schemas.GRAIN)
+
+
+@query("dq_relationships")
+def dq_relationships(spark, sf_dir):
+    w = Warehouse(spark, sf_dir)
+    gold = w.gold()
+    rel = quality.relationship
+    return quality.union_all([
+        rel(w.products, "dim_product", "supplier_id", w.suppliers),
+        rel(w.shelf_life, "dim_shelf_life", "product_id", w.products),
+        rel(w.sales, "fact_sales", "store_id", w.stores),
+        rel(w.sales, "fact_sales", "product_id", w.products),
+        rel(w.inventory, "fact_inventory_snapshot", "store_id", w.stores),
+        rel(w.inventory, "fact_inventory_snapshot", "product_id", w.products),
+        rel(gold, "perishables_risk", "store_id", w.stores),
+        rel(gold, "perishables_risk", "product_id", w.products),
+        rel(conform.clean_suppliers(w.raw_supplier_extract), "raw_supplier_extract",
+            "supplier_id", w.suppliers),
+    ])
+
+
+@query("dq_density")
+def dq_density(spark, sf_dir):
+    """Dense snapshot passes; the sparse sales fact, checked the same way, does not."""
+    w = Warehouse(spark, sf_dir)
+    keys = ["store_id", "product_id"]
+    return quality.union_all([
+        quality.density_detail(w.inventory, keys, "snapshot_date")
+        .select(F.lit("fact_inventory_snapshot").alias("target"), "*"),
+        quality.density_detail(w.sales, keys, "sale_date")
+        .select(F.lit("fact_sales").alias("target"), "*"),
+    ])
+
+
+@query("dq_accepted_values")
+def dq_accepted_values(spark, sf_dir):
+    return quality.row_checks(Warehouse(spark, sf_dir).gold(), "perishables_risk",
+                              {"in_set(risk_flag)": quality.not_in("risk_flag", schemas.RISK_FLAGS)})
+
+
+@query("dq_score_range")
+def dq_score_range(spark, sf_dir):
+    return quality.row_checks(Warehouse(spark, sf_dir).gold(), "perishables_risk", {
+        "between(spoilage_risk_score, 0, 1)": quality.outside("spoilage_risk_score", 0, 1),
+        "between(stockout_risk_score, 0, 1)": quality.outside("stockout_risk_score", 0, 1),
+    })
+
+
+@query("dq_min_nonneg")
+def dq_min_nonneg(spark, sf_dir):
+    return quality.column_minimums(Warehouse(spark, sf_dir).inventory, [
+        "on_hand_qty", "received_qty", "spoiled_qty", "unmet_demand", "oldest_batch_age_days"])
+
+
+@query("dq_columns")
+def dq_columns(spark, sf_dir):
+    w = Warehouse(spark, sf_dir)
+    return quality.union_all([
+        quality.required_columns(w.inventory, "fact_inventory_snapshot", schemas.INVENTORY_COLUMNS),
+        quality.required_columns(w.sales, "fact_sales", schemas.INVENTORY_COLUMNS),
+    ])
+
+
+@query("dq_flag_consistent")
+def dq_flag_consistent(spark, sf_dir):
+    """Flags re-derived from scores at 0.70: the default build agrees, a build
+    made with threshold 0.5 is caught."""
+    w = Warehouse(spark, sf_dir)
+    check = {"flag_matches_scores": quality.flag_disagrees(0.70)}
+    return quality.union_all([
+        quality.row_checks(w.gold(), "perishables_risk", check),
+        quality.row_checks(w.gold(threshold=0.5), "perishables_risk[threshold=0.5]", check),
+    ])
+
+
+@query("dq_outlives")
+def dq_outlives(spark, sf_dir):
+    w = Warehouse(spark, sf_dir)
+    return quality.violating_outlived_stock(w.inventory, w.shelf_life)
+
+
+@query("dq_sales_positive")
+def dq_sales_positive(spark, sf_dir):
+    return quality.row_checks(Warehouse(spark, sf_dir).sales, "fact_sales",
+                              {"units_sold > 0": F.col("units_sold") <= 0})
+
+
+@query("dq_revenue")
+def dq_revenue(spark, sf_dir):
+    return quality.row_checks(Warehouse(spark, sf_dir).sales, "fact_sales",
+                              {"revenue = round(units_sold * unit_price, 2)":
+                               quality.revenue_mismatch(0.01)})
+
+
+@query("dq_scd2_current")
+def dq_scd2_current(spark, sf_dir):
+    return quality.one_current_version(Warehouse(spark, sf_dir).shelf_life, "dim_shelf_life")
+
+
+@query("dq_suite_inventory")
+def dq_suite_inventory(spark, sf_dir):
+    return quality.inventory_suite(Warehouse(spark, sf_dir).inventory)
+
+
+@query("dq_suite_risk")
+def dq_suite_risk(spark, sf_dir):
+    return quality.risk_suite(risk.with_computed_at(Warehouse(spark, sf_dir).gold()))
