@@ -16,8 +16,10 @@ import datetime as dt
 from shelfrisk.functions import scores
 from shelfrisk.operators import conform, insights, quality, risk, serving, velocity
 from shelfrisk.plans.warehouse import Warehouse
-from shelfrisk.session import scratch_path
+from shelfrisk.session import configure, scratch_path
 from shelfrisk.sources import domain, lake, schemas
+from shelfrisk.sources import events as event_source
+from shelfrisk.streaming import events, job
 
 LAST_SEASON_DAY = (domain.SEASON_START + dt.timedelta(days=domain.SEASON_DAYS - 1)).isoformat()
 
@@ -479,3 +481,81 @@ def dq_suite_inventory(spark, sf_dir):
 @query("dq_suite_risk")
 def dq_suite_risk(spark, sf_dir):
     return quality.risk_suite(risk.with_computed_at(Warehouse(spark, sf_dir).gold()))
+
+
+# --------------------------------------------------------------------------- #
+# Events: contract checks and the stream
+# --------------------------------------------------------------------------- #
+@query("decode_payload")
+def decode_payload(spark, sf_dir):
+    """base64 envelopes decoded and parsed; bad payloads come back NULL."""
+    configure(spark)
+    recs = event_source.kinesis_records(event_source.event_records(spark, sf_dir))
+    v = events.decode_base64_json(F.col("data"))
+    return recs.select("record_id", v.isNotNull().alias("payload_is_json"),
+                       F.try_variant_get(v, "$.event_type", "string").alias("event_type"))
+
+
+@query("event_validate")
+def event_validate(spark, sf_dir):
+    """Every record with its first failing rule (NULL reason = valid)."""
+    configure(spark)
+    return events.with_reason(event_source.event_records(spark, sf_dir)).select(
+        "record_id", "reason")
+
+
+@query("event_enrich")
+def event_enrich(spark, sf_dir):
+    """Valid records, typed and enriched with event_date and revenue."""
+    configure(spark)
+    return events.validate_and_enrich(event_source.event_records(spark, sf_dir))
+
+
+_STREAM_LAKES: dict[tuple[str, str], job.Lake] = {}
+
+
+def stream_lake(spark, sf_dir) -> job.Lake:
+    """Run the event stream over the records (as files) once per session and
+    input; return its lake."""
+    configure(spark)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STREAM_LAKES:
+        source = scratch_path(spark, "stream-source")
+        event_source.event_records(spark, sf_dir).select("value").repartition(4) \
+            .write.mode("overwrite").text(source)
+        lake = job.Lake(scratch_path(spark, "lake"))
+        q = job.start(spark, source, lake, scratch_path(spark, "stream-checkpoint"))
+        q.awaitTermination(STREAM_TIMEOUT_SECONDS)
+        if q.isActive:
+            q.stop()
+            raise TimeoutError("event stream did not drain in time")
+        if q.exception() is not None:
+            raise q.exception()
+        _STREAM_LAKES[key] = lake
+    return _STREAM_LAKES[key]
+
+
+STREAM_TIMEOUT_SECONDS = 900
+
+
+@query("stream_good")
+def stream_good(spark, sf_dir):
+    """Enriched events as delivered to the bronze lake by the stream."""
+    return job.read_good(spark, stream_lake(spark, sf_dir)).select(*events.ENRICHED_COLUMNS)
+
+
+@query("stream_rejects")
+def stream_rejects(spark, sf_dir):
+    """Rejected records per reason, read back from the error sink."""
+    return (job.read_rejects(spark, stream_lake(spark, sf_dir))
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("stream_summary")
+def stream_summary(spark, sf_dir):
+    """Totals of the per-batch delivery summaries."""
+    return job.read_summary(spark, stream_lake(spark, sf_dir)).agg(
+        F.sum("received").cast("bigint").alias("received"),
+        F.sum("delivered").cast("bigint").alias("delivered"),
+        F.sum("rejected").cast("bigint").alias("rejected"),
+    )
