@@ -82,6 +82,7 @@ def split_and_deliver(lake: Lake):
         try:
             good = (
                 events.enrich(tagged.where(F.col("reason").isNull()), with_ingest_ts=True)
+                .drop("reason")
                 .withColumn("ingest_ts", F.date_format("ingest_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
                 .withColumn("dt", F.col("event_date"))
                 .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
