@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 import datetime as dt
 
-from shelfrisk.functions import scores
-from shelfrisk.operators import conform, insights, quality, risk, serving, velocity
+from shelfrisk.functions import calendar, scores
+from shelfrisk.operators import conform, fifo, insights, quality, risk, serving, velocity
 from shelfrisk.plans.warehouse import Warehouse
 from shelfrisk.session import configure, scratch_path
 from shelfrisk.sources import domain, lake, schemas
 from shelfrisk.sources import events as event_source
+from shelfrisk.sources.tables import read_table
 from shelfrisk.streaming import events, job
 
 LAST_SEASON_DAY = (domain.SEASON_START + dt.timedelta(days=domain.SEASON_DAYS - 1)).isoformat()
@@ -559,3 +560,50 @@ def stream_summary(spark, sf_dir):
         F.sum("delivered").cast("bigint").alias("delivered"),
         F.sum("rejected").cast("bigint").alias("rejected"),
     )
+
+
+# --------------------------------------------------------------------------- #
+# FIFO ageing and calendar
+# --------------------------------------------------------------------------- #
+@query("fifo_aging")
+def fifo_aging(spark, sf_dir):
+    """FIFO lot ageing of every (store, product) ledger: receipts from the
+    snapshot, demand from sales, opening stock = the first day's on-hand,
+    shelf life = the current version."""
+    w = Warehouse(spark, sf_dir)
+    keys = ["store_id", "product_id"]
+    current = w.shelf_life.where(F.col("is_current")).select("product_id", "shelf_life_days")
+    ledger = velocity.dense_sales(w.inventory, w.sales).join(current, "product_id").select(
+        *keys, F.datediff("snapshot_date", F.lit(domain.SEASON_START)).alias("day"),
+        "received_qty", "units_sold", "shelf_life_days", F.col("on_hand_qty").alias("opening"))
+    out = fifo.fifo_age(ledger, keys, "day", "received_qty", "units_sold", "shelf_life_days",
+                        "opening")
+    return out.select(*keys, F.date_add(F.lit(domain.SEASON_START), F.col("day"))
+                      .alias("snapshot_date"), *fifo.OUT_FIELDS)
+
+
+@query("date_dim")
+def date_dim(spark, sf_dir):
+    """Calendar rows spanning every ship date of the line items."""
+    configure(spark)
+    li = read_table(spark, sf_dir, "lineitem", "l_shipdate")
+    span = li.agg(F.min("l_shipdate").cast("date").alias("d0"),
+                  F.max("l_shipdate").cast("date").alias("d1"))
+    return calendar.date_rows(span, "d0", "d1")
+
+
+@query("sql_scores")
+def sql_scores(spark, sf_dir):
+    """The two scores called as SQL functions over the enriched velocity rows."""
+    w = Warehouse(spark, sf_dir)
+    scores.register_sql(spark)
+    attrs = risk.product_attributes(w.products, w.suppliers, w.shelf_life)
+    v = w.velocity().join(attrs, "product_id").withColumn(
+        "days_remaining_shelf_life",
+        scores.days_remaining_shelf_life("shelf_life_days", "oldest_batch_age_days"))
+    return v.selectExpr(
+        "store_id", "product_id", "snapshot_date",
+        "round(spoilage_risk_score(on_hand_qty, trailing_avg_daily_sell_through, "
+        "days_remaining_shelf_life) * 1000, 0) / 1000 AS spoilage_risk_score",
+        "round(stockout_risk_score(on_hand_qty, trailing_avg_daily_sell_through, "
+        "lead_time_days) * 1000, 0) / 1000 AS stockout_risk_score")
