@@ -43,13 +43,13 @@ def query(name: str) -> Callable[[QueryFn], QueryFn]:
 @query("risk_gold")
 def risk_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold risk rows, default parameters (7-day window, threshold 0.70)."""
-    return Warehouse(spark, sf_dir).gold()
+    return Warehouse.of(spark, sf_dir).gold()
 
 
 @query("risk_gold_params")
 def risk_gold_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold risk rows with a 14-day window and a 0.5 spoilage threshold."""
-    return Warehouse(spark, sf_dir).gold(window_days=14, threshold=0.5)
+    return Warehouse.of(spark, sf_dir).gold(window_days=14, threshold=0.5)
 
 
 # --------------------------------------------------------------------------- #
@@ -57,61 +57,61 @@ def risk_gold_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------- #
 @query("stg_stores")
 def stg_stores(spark, sf_dir):
-    return Warehouse(spark, sf_dir).stores
+    return Warehouse.of(spark, sf_dir).stores
 
 
 @query("stg_products")
 def stg_products(spark, sf_dir):
-    return Warehouse(spark, sf_dir).products
+    return Warehouse.of(spark, sf_dir).products
 
 
 @query("stg_suppliers")
 def stg_suppliers(spark, sf_dir):
-    return Warehouse(spark, sf_dir).suppliers
+    return Warehouse.of(spark, sf_dir).suppliers
 
 
 @query("stg_shelf_life")
 def stg_shelf_life(spark, sf_dir):
-    return Warehouse(spark, sf_dir).shelf_life
+    return Warehouse.of(spark, sf_dir).shelf_life
 
 
 @query("stg_date")
 def stg_date(spark, sf_dir):
-    return Warehouse(spark, sf_dir).dates
+    return Warehouse.of(spark, sf_dir).dates
 
 
 @query("stg_sales")
 def stg_sales(spark, sf_dir):
-    return Warehouse(spark, sf_dir).sales
+    return Warehouse.of(spark, sf_dir).sales
 
 
 @query("stg_inventory")
 def stg_inventory(spark, sf_dir):
-    return Warehouse(spark, sf_dir).inventory
+    return Warehouse.of(spark, sf_dir).inventory
 
 
 @query("dim_product")
 def dim_product(spark, sf_dir):
-    return Warehouse(spark, sf_dir).dim_product
+    return Warehouse.of(spark, sf_dir).dim_product
 
 
 @query("sell_through")
 def sell_through_q(spark, sf_dir):
     """Dense spine with sales joined and the 7-row trailing mean."""
-    return Warehouse(spark, sf_dir).velocity()
+    return Warehouse.of(spark, sf_dir).velocity()
 
 
 @query("sell_through_dense")
 def sell_through_dense(spark, sf_dir):
     """Dense spine with zero-filled daily units (no window)."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return velocity.dense_sales(w.inventory, w.sales)
 
 
 @query("densify_spine")
 def densify_spine(spark, sf_dir):
     """Sales series gap-filled between each pair's first and last sale day."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     s = w.sales.select("store_id", "product_id", "sale_date", "units_sold")
     return velocity.densify(s, ["store_id", "product_id"], "sale_date", {"units_sold": 0})
 
@@ -119,7 +119,7 @@ def densify_spine(spark, sf_dir):
 @query("price_lookup")
 def price_lookup(spark, sf_dir):
     """Sales priced from the product catalogue (distinct id -> price lookup)."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     prices = w.products.select("product_id", F.col("unit_price").alias("catalog_price")).distinct()
     s = w.sales.join(prices, "product_id", "left")
     return s.select("store_id", "product_id", "sale_date", "units_sold", "catalog_price",
@@ -130,7 +130,7 @@ def price_lookup(spark, sf_dir):
 @query("spoilage_score")
 def spoilage_score_q(spark, sf_dir):
     """Raw (unrounded) spoilage score on every velocity row."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     attrs = risk.product_attributes(w.products, w.suppliers, w.shelf_life)
     v = w.velocity().join(attrs, "product_id")
     days = scores.days_remaining_shelf_life("shelf_life_days", "oldest_batch_age_days")
@@ -142,7 +142,7 @@ def spoilage_score_q(spark, sf_dir):
 @query("stockout_score")
 def stockout_score_q(spark, sf_dir):
     """Raw (unrounded) stockout score on every velocity row."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     attrs = risk.product_attributes(w.products, w.suppliers, w.shelf_life)
     v = w.velocity().join(attrs, "product_id")
     return v.select("store_id", "product_id", "snapshot_date",
@@ -154,9 +154,9 @@ def stockout_score_q(spark, sf_dir):
 # Serving
 # --------------------------------------------------------------------------- #
 def _enriched(spark, sf_dir, newest_only=False, ordered=False):
-    w = Warehouse(spark, sf_dir)
-    return serving.enriched_rows(w.gold(), w.products, w.stores, newest_only=newest_only,
-                                 ordered=ordered)
+    w = Warehouse.of(spark, sf_dir)
+    return serving.enriched_rows(w.gold_table().drop("computed_at"), w.products, w.stores,
+                                 newest_only=newest_only, ordered=ordered)
 
 
 @query("serve_enriched_day")
@@ -214,17 +214,17 @@ def top_spoilage(spark, sf_dir):
 
 @query("daily_trend")
 def daily_trend(spark, sf_dir):
-    return serving.daily_trend(Warehouse(spark, sf_dir).gold())
+    return serving.daily_trend(Warehouse.of(spark, sf_dir).gold_table())
 
 
 @query("trend_pivot")
 def trend_pivot(spark, sf_dir):
-    return serving.trend_pivot(serving.daily_trend(Warehouse(spark, sf_dir).gold()))
+    return serving.trend_pivot(serving.daily_trend(Warehouse.of(spark, sf_dir).gold_table()))
 
 
 @query("available_dates")
 def available_dates(spark, sf_dir):
-    return serving.available_dates(Warehouse(spark, sf_dir).gold())
+    return serving.available_dates(Warehouse.of(spark, sf_dir).gold_table())
 
 
 @query("filter_values")
@@ -234,7 +234,7 @@ def filter_values(spark, sf_dir):
 
 @query("flag_distribution")
 def flag_distribution(spark, sf_dir):
-    return serving.flag_distribution(Warehouse(spark, sf_dir).gold())
+    return serving.flag_distribution(Warehouse.of(spark, sf_dir).gold_table())
 
 
 # --------------------------------------------------------------------------- #
@@ -242,13 +242,13 @@ def flag_distribution(spark, sf_dir):
 # --------------------------------------------------------------------------- #
 @query("signal_summary")
 def signal_summary(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return insights.signal_summary(w.inventory, w.sales)
 
 
 @query("table_counts")
 def table_counts(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return insights.table_counts({
         "dim_store": w.stores, "dim_product": w.products, "dim_supplier": w.suppliers,
         "dim_shelf_life": w.shelf_life, "dim_date": w.dates, "fact_sales": w.sales,
@@ -258,18 +258,18 @@ def table_counts(spark, sf_dir):
 
 @query("aging_stock")
 def aging_stock(spark, sf_dir):
-    return insights.aging_stock(Warehouse(spark, sf_dir).inventory)
+    return insights.aging_stock(Warehouse.of(spark, sf_dir).inventory)
 
 
 @query("spoilage_by_category")
 def spoilage_by_category(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return insights.spoilage_by_category(w.inventory, w.products, w.shelf_life)
 
 
 @query("spoilage_extremes")
 def spoilage_extremes(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return insights.spoilage_extremes(
         insights.spoilage_by_category(w.inventory, w.products, w.shelf_life))
 
@@ -285,14 +285,14 @@ LOAD_DATE = "2026-07-05"
 @query("supplier_conform")
 def supplier_conform(spark, sf_dir):
     """Dirty supplier extract -> clean, valid, latest row per supplier."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return conform.conform_suppliers(w.raw_supplier_extract, LOAD_DATE).select(*CONFORM_COLUMNS)
 
 
 @query("csv_roundtrip")
 def csv_roundtrip(spark, sf_dir):
     """The extract written as headered CSV, read back as strings, conformed."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     path = scratch_path(spark, "supplier-extract-csv")
     lake.write_extract_csv(w.raw_supplier_extract, path)
     raw = lake.read_extract(spark, path, schemas.RAW_SUPPLIER_EXTRACT)
@@ -304,7 +304,7 @@ def csv_roundtrip(spark, sf_dir):
 @query("partition_reload")
 def partition_reload(spark, sf_dir):
     """Two daily loads, then a reload of the first: both days must survive."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     path = scratch_path(spark, "bronze-suppliers")
     for day in (LOAD_DATE, "2026-07-06", LOAD_DATE):
         lake.write_partitioned(conform.conform_suppliers(w.raw_supplier_extract, day)
@@ -317,7 +317,7 @@ def partition_reload(spark, sf_dir):
 @query("partition_prune")
 def partition_prune(spark, sf_dir):
     """Snapshot written partitioned by day; one day read back (folder pruning)."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     path = scratch_path(spark, "bronze-inventory")
     snap = w.inventory.withColumn("dt", F.col("snapshot_date").cast("string"))
     lake.write_partitioned(snap, path, ["dt"], sort_cols=["store_id", "product_id"])
@@ -328,14 +328,14 @@ def partition_prune(spark, sf_dir):
 @query("scd2_build")
 def scd2_build(spark, sf_dir):
     """Type-2 shelf-life history from the dirty revision extract."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return conform.build_scd2(w.raw_shelf_life_extract).orderBy("product_id", "effective_from")
 
 
 @query("scd2_current")
 def scd2_current(spark, sf_dir):
     """Shelf life in force today (one row per product)."""
-    return (Warehouse(spark, sf_dir).shelf_life.where(F.col("is_current"))
+    return (Warehouse.of(spark, sf_dir).shelf_life.where(F.col("is_current"))
             .select("product_id", "shelf_life_days", "effective_from"))
 
 
@@ -344,10 +344,10 @@ def scd2_current(spark, sf_dir):
 # --------------------------------------------------------------------------- #
 @query("dq_not_null")
 def dq_not_null(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     nn = lambda *cols: {f"not_null({c})": quality.is_null(c) for c in cols}
     return quality.union_all([
-        quality.row_checks(w.gold(), "perishables_risk",
+        quality.row_checks(w.gold_table(), "perishables_risk",
                            nn("store_id", "product_id", "snapshot_date", "risk_flag",
                               "spoilage_risk_score", "stockout_risk_score")),
         quality.row_checks(w.stores, "dim_store", nn("store_id", "region")),
@@ -360,7 +360,7 @@ def dq_not_null(spark, sf_dir):
 
 @query("dq_unique")
 def dq_unique(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return quality.union_all([
         quality.unique(w.stores, "dim_store", ["store_id"]),
         quality.unique(w.products, "dim_product", ["product_id"]),
@@ -374,13 +374,13 @@ def dq_unique(spark, sf_dir):
 @query("dq_unique_grain")
 def dq_unique_grain(spark, sf_dir):
     """Gold rows sharing a (store, product, day) grain."""
-    return quality.violating_duplicates(Warehouse(spark, sf_dir).gold(), schemas.GRAIN)
+    return quality.violating_duplicates(Warehouse.of(spark, sf_dir).gold_table(), schemas.GRAIN)
 
 
 @query("dq_relationships")
 def dq_relationships(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
-    gold = w.gold()
+    w = Warehouse.of(spark, sf_dir)
+    gold = w.gold_table()
     rel = quality.relationship
     return quality.union_all([
         rel(w.products, "dim_product", "supplier_id", w.suppliers),
@@ -399,7 +399,7 @@ def dq_relationships(spark, sf_dir):
 @query("dq_density")
 def dq_density(spark, sf_dir):
     """Dense snapshot passes; the sparse sales fact, checked the same way, does not."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     keys = ["store_id", "product_id"]
     return quality.union_all([
         quality.density_detail(w.inventory, keys, "snapshot_date")
@@ -411,13 +411,13 @@ def dq_density(spark, sf_dir):
 
 @query("dq_accepted_values")
 def dq_accepted_values(spark, sf_dir):
-    return quality.row_checks(Warehouse(spark, sf_dir).gold(), "perishables_risk",
+    return quality.row_checks(Warehouse.of(spark, sf_dir).gold_table(), "perishables_risk",
                               {"in_set(risk_flag)": quality.not_in("risk_flag", schemas.RISK_FLAGS)})
 
 
 @query("dq_score_range")
 def dq_score_range(spark, sf_dir):
-    return quality.row_checks(Warehouse(spark, sf_dir).gold(), "perishables_risk", {
+    return quality.row_checks(Warehouse.of(spark, sf_dir).gold_table(), "perishables_risk", {
         "between(spoilage_risk_score, 0, 1)": quality.outside("spoilage_risk_score", 0, 1),
         "between(stockout_risk_score, 0, 1)": quality.outside("stockout_risk_score", 0, 1),
     })
@@ -425,13 +425,13 @@ def dq_score_range(spark, sf_dir):
 
 @query("dq_min_nonneg")
 def dq_min_nonneg(spark, sf_dir):
-    return quality.column_minimums(Warehouse(spark, sf_dir).inventory, [
+    return quality.column_minimums(Warehouse.of(spark, sf_dir).inventory, [
         "on_hand_qty", "received_qty", "spoiled_qty", "unmet_demand", "oldest_batch_age_days"])
 
 
 @query("dq_columns")
 def dq_columns(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return quality.union_all([
         quality.required_columns(w.inventory, "fact_inventory_snapshot", schemas.INVENTORY_COLUMNS),
         quality.required_columns(w.sales, "fact_sales", schemas.INVENTORY_COLUMNS),
@@ -442,46 +442,46 @@ def dq_columns(spark, sf_dir):
 def dq_flag_consistent(spark, sf_dir):
     """Flags re-derived from scores at 0.70: the default build agrees, a build
     made with threshold 0.5 is caught."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     check = {"flag_matches_scores": quality.flag_disagrees(0.70)}
     return quality.union_all([
-        quality.row_checks(w.gold(), "perishables_risk", check),
-        quality.row_checks(w.gold(threshold=0.5), "perishables_risk[threshold=0.5]", check),
+        quality.row_checks(w.gold_table(), "perishables_risk", check),
+        quality.row_checks(w.gold_table(threshold=0.5), "perishables_risk[threshold=0.5]", check),
     ])
 
 
 @query("dq_outlives")
 def dq_outlives(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return quality.violating_outlived_stock(w.inventory, w.shelf_life)
 
 
 @query("dq_sales_positive")
 def dq_sales_positive(spark, sf_dir):
-    return quality.row_checks(Warehouse(spark, sf_dir).sales, "fact_sales",
+    return quality.row_checks(Warehouse.of(spark, sf_dir).sales, "fact_sales",
                               {"units_sold > 0": F.col("units_sold") <= 0})
 
 
 @query("dq_revenue")
 def dq_revenue(spark, sf_dir):
-    return quality.row_checks(Warehouse(spark, sf_dir).sales, "fact_sales",
+    return quality.row_checks(Warehouse.of(spark, sf_dir).sales, "fact_sales",
                               {"revenue = round(units_sold * unit_price, 2)":
                                quality.revenue_mismatch(0.01)})
 
 
 @query("dq_scd2_current")
 def dq_scd2_current(spark, sf_dir):
-    return quality.one_current_version(Warehouse(spark, sf_dir).shelf_life, "dim_shelf_life")
+    return quality.one_current_version(Warehouse.of(spark, sf_dir).shelf_life, "dim_shelf_life")
 
 
 @query("dq_suite_inventory")
 def dq_suite_inventory(spark, sf_dir):
-    return quality.inventory_suite(Warehouse(spark, sf_dir).inventory)
+    return quality.inventory_suite(Warehouse.of(spark, sf_dir).inventory)
 
 
 @query("dq_suite_risk")
 def dq_suite_risk(spark, sf_dir):
-    return quality.risk_suite(risk.with_computed_at(Warehouse(spark, sf_dir).gold()))
+    return quality.risk_suite(Warehouse.of(spark, sf_dir).gold_table())
 
 
 # --------------------------------------------------------------------------- #
@@ -570,7 +570,7 @@ def fifo_aging(spark, sf_dir):
     """FIFO lot ageing of every (store, product) ledger: receipts from the
     snapshot, demand from sales, opening stock = the first day's on-hand,
     shelf life = the current version."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     keys = ["store_id", "product_id"]
     current = w.shelf_life.where(F.col("is_current")).select("product_id", "shelf_life_days")
     ledger = velocity.dense_sales(w.inventory, w.sales).join(current, "product_id").select(
@@ -595,7 +595,7 @@ def date_dim(spark, sf_dir):
 @query("sql_scores")
 def sql_scores(spark, sf_dir):
     """The two scores called as SQL functions over the enriched velocity rows."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     scores.register_sql(spark)
     attrs = risk.product_attributes(w.products, w.suppliers, w.shelf_life)
     v = w.velocity().join(attrs, "product_id").withColumn(

@@ -8,6 +8,7 @@ Nothing runs until an action; staging and intermediate models stay views
 
 from __future__ import annotations
 
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,15 +16,33 @@ from pyspark.sql import functions as F
 
 from shelfrisk.functions.numeric import round_half_away
 from shelfrisk.operators import conform, risk, staging, velocity
-from shelfrisk.session import configure
+from shelfrisk.session import configure, scratch_path
 from shelfrisk.sources import domain
 from shelfrisk.sources.schemas import SELL_THROUGH_WINDOW_DAYS, SPOILAGE_FLAG_THRESHOLD
 
 
 class Warehouse:
+    _instances: dict[tuple[int, str], "Warehouse"] = {}
+    _lock = threading.Lock()
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
         self.sf_dir = sf_dir
+        self._marts: dict[tuple, DataFrame] = {}
+        self._mart_lock = threading.Lock()
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
+        """One warehouse per session and input folder.
+
+        DataFrames are immutable plans, so queries of one session share them
+        (and the materialised marts) instead of re-analysing the same plan.
+        """
+        key = (id(spark._jsparkSession), sf_dir)
+        with cls._lock:
+            if key not in cls._instances:
+                cls._instances[key] = cls(spark, sf_dir)
+            return cls._instances[key]
 
     # -- raw landing tables ------------------------------------------------
     @cached_property
@@ -83,5 +102,26 @@ class Warehouse:
 
     def gold(self, window_days: int = SELL_THROUGH_WINDOW_DAYS,
              threshold: float = SPOILAGE_FLAG_THRESHOLD) -> DataFrame:
+        """The gold plan, computed from the raw tables when acted on."""
         return risk.risk(self.velocity(window_days), self.products, self.suppliers,
                          self.shelf_life, threshold)
+
+    def gold_table(self, window_days: int = SELL_THROUGH_WINDOW_DAYS,
+                   threshold: float = SPOILAGE_FLAG_THRESHOLD) -> DataFrame:
+        """The gold mart as a stored table, built once per warehouse.
+
+        Written as Parquet partitioned by ``snapshot_date`` (with the
+        ``computed_at`` stamp) under the shared checkpoint root, then read
+        back: serving queries prune to the days they ask for, later queries
+        skip the rebuild, and the lineage is cut (a lost executor re-reads
+        files instead of recomputing the dense spine).
+        """
+        key = ("gold", window_days, threshold)
+        with self._mart_lock:
+            if key not in self._marts:
+                path = scratch_path(self.spark, f"mart-perishables-risk-w{window_days}")
+                gold = risk.with_computed_at(self.gold(window_days, threshold))
+                (gold.write.mode("overwrite").partitionBy("snapshot_date").parquet(path))
+                stored = self.spark.read.parquet(path)
+                self._marts[key] = stored.select(*risk.GOLD_COLUMNS, "computed_at")
+            return self._marts[key]
