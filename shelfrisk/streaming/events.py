@@ -32,21 +32,28 @@ ISO_TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2}([T ].*)?$"
 PARSED = "_event"
 
 
+FIELDS = COMMON_EVENT_FIELDS + TYPE_EVENT_FIELDS["pos_sale"] + TYPE_EVENT_FIELDS["inventory_update"]
+NUMERIC_FIELDS = TYPE_EVENT_FIELDS["pos_sale"] + TYPE_EVENT_FIELDS["inventory_update"]
+
+
 def _field(name: str) -> Column:
     return F.try_variant_get(F.col(PARSED), f"$.{name}", "variant")
 
 
 def _type_of(name: str) -> Column:
-    return F.schema_of_variant(_field(name))
+    return F.col(f"_t_{name}")
 
 
 def _text(name: str) -> Column:
-    return F.try_variant_get(F.col(PARSED), f"$.{name}", "string")
+    return F.col(f"_s_{name}")
+
+
+def _number(name: str) -> Column:
+    return F.col(f"_n_{name}")
 
 
 def _missing(name: str) -> Column:
-    f = _field(name)
-    return f.isNull() | F.is_variant_null(f)
+    return _type_of(name).isNull() | (_type_of(name) == "VOID")
 
 
 def _missing_list(fields: tuple[str, ...]) -> Column:
@@ -71,26 +78,39 @@ def _is_number(name: str) -> Column:
     return t.isin("BIGINT", "DOUBLE", "FLOAT", "INT", "SMALLINT", "TINYINT") | t.startswith("DECIMAL")
 
 
-def _number(name: str) -> Column:
-    return F.try_variant_get(F.col(PARSED), f"$.{name}", "double")
+def parse(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """Parse once, then extract each contract field once.
 
+    Adds the VARIANT (NULL for text that is not valid JSON), whether it is an
+    object, and per field its VARIANT type name (NULL when absent, VOID for a
+    JSON null), its text and, for quantities and prices, its numeric value.
+    The rules below read these columns, so no field is extracted twice.
+    """
+    parsed = df.withColumn(PARSED, F.try_parse_json(F.col(value_col)))
+    cols = {"_is_object": F.schema_of_variant(F.col(PARSED)).startswith("OBJECT")}
+    for f in FIELDS:
+        cols[f"_t_{f}"] = F.schema_of_variant(_field(f))
+        cols[f"_s_{f}"] = F.try_variant_get(F.col(PARSED), f"$.{f}", "string")
+    for f in NUMERIC_FIELDS:
+        cols[f"_n_{f}"] = F.try_variant_get(F.col(PARSED), f"$.{f}", "double")
+    return parsed.withColumns(cols)
 
-def parse(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Attach the parsed VARIANT (NULL for text that is not valid JSON)."""
-    return df.withColumn(PARSED, F.try_parse_json(F.col(value_col)))
+
+def _helper_columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c == PARSED or c == "_is_object" or c[:3] in ("_t_", "_s_", "_n_")]
 
 
 def reason(value_col: str = "value") -> Column:
-    """Rejection reason of a parsed record, NULL when the record is valid."""
+    """Rejection reason of a parsed record (see ``parse``), NULL when valid."""
     v = F.col(PARSED)
     etype = _text("event_type")
-    is_object = F.schema_of_variant(v).startswith("OBJECT")
     ts_text = _text("event_ts")
     ts_ok = ts_text.rlike(ISO_TIMESTAMP_PATTERN) & F.try_to_timestamp(ts_text).isNotNull()
     store_text = F.coalesce(_text("store_id"), F.to_json(_field("store_id")))
     product_text = F.coalesce(_text("product_id"), F.to_json(_field("product_id")))
     sale_missing = _missing_list(TYPE_EVENT_FIELDS["pos_sale"])
     stock_missing = _missing_list(TYPE_EVENT_FIELDS["inventory_update"])
+    common_missing = _missing_list(COMMON_EVENT_FIELDS)
     is_sale = etype == "pos_sale"
 
     def non_negative_int(name: str) -> Column:
@@ -98,8 +118,8 @@ def reason(value_col: str = "value") -> Column:
 
     return (
         F.when(v.isNull(), F.lit("invalid json"))
-        .when(~is_object, F.lit("event is not a JSON object"))
-        .when(_missing_list(COMMON_EVENT_FIELDS).isNotNull(), _missing_list(COMMON_EVENT_FIELDS))
+        .when(~F.col("_is_object"), F.lit("event is not a JSON object"))
+        .when(common_missing.isNotNull(), common_missing)
         .when((_type_of("event_type") != "STRING") | ~etype.isin(*EVENT_TYPES),
               F.concat(F.lit("unknown event_type: "), _repr("event_type")))
         .when(~store_text.rlike(STREAM_STORE_ID_PATTERN),
@@ -123,7 +143,8 @@ def reason(value_col: str = "value") -> Column:
 
 def with_reason(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Parse and tag every record with its rejection reason (NULL = valid)."""
-    return parse(df, value_col).withColumn("reason", reason(value_col))
+    parsed = parse(df, value_col)
+    return parsed.withColumn("reason", reason(value_col))
 
 
 ENRICHED_COLUMNS = (
@@ -139,7 +160,7 @@ def enrich(valid: DataFrame, with_ingest_ts: bool = False) -> DataFrame:
     first ten characters), not the UTC date of the instant.
     """
     is_sale = _text("event_type") == "pos_sale"
-    units = F.when(is_sale, F.try_variant_get(F.col(PARSED), "$.units", "bigint"))
+    units = F.when(is_sale, _number("units").cast("bigint"))
     price = F.when(is_sale, _number("unit_price"))
     cols = [
         _text("event_type").alias("event_type"),
@@ -149,14 +170,13 @@ def enrich(valid: DataFrame, with_ingest_ts: bool = False) -> DataFrame:
         _text("product_id").alias("product_id"),
         units.alias("units"),
         price.alias("unit_price"),
-        F.when(~is_sale, F.try_variant_get(F.col(PARSED), "$.on_hand_qty", "bigint"))
-        .alias("on_hand_qty"),
-        F.when(~is_sale, F.try_variant_get(F.col(PARSED), "$.received_qty", "bigint"))
-        .alias("received_qty"),
+        F.when(~is_sale, _number("on_hand_qty").cast("bigint")).alias("on_hand_qty"),
+        F.when(~is_sale, _number("received_qty").cast("bigint")).alias("received_qty"),
         F.substring(_text("event_ts"), 1, 10).alias("event_date"),
         F.when(is_sale, round_half_away(units * price, 2)).alias("revenue"),
     ]
-    keep = [c for c in valid.columns if c not in (PARSED, "value")]
+    helpers = set(_helper_columns(valid))
+    keep = [c for c in valid.columns if c not in helpers and c != "value"]
     out = valid.select(*keep, *cols)
     return out.withColumn("ingest_ts", F.current_timestamp()) if with_ingest_ts else out
 
