@@ -607,3 +607,17 @@ def sql_scores(spark, sf_dir):
         "days_remaining_shelf_life) * 1000, 0) / 1000 AS spoilage_risk_score",
         "round(stockout_risk_score(on_hand_qty, trailing_avg_daily_sell_through, "
         "lead_time_days) * 1000, 0) / 1000 AS stockout_risk_score")
+
+
+@query("risk_gold_incremental")
+def risk_gold_incremental(spark, sf_dir):
+    """The newest day recomputed incrementally from its 7-day look-back and
+    merged into a copy of the stored mart by dynamic partition overwrite;
+    the query reads that day back from the refreshed mart."""
+    w = Warehouse.of(spark, sf_dir)
+    path = scratch_path(spark, "mart-incremental")
+    w.gold_table().write.mode("overwrite").partitionBy("snapshot_date").parquet(path)
+    w.refresh_gold_day(path, LAST_SEASON_DAY)
+    stored = spark.read.parquet(path)
+    return stored.where(F.col("snapshot_date") == F.to_date(F.lit(LAST_SEASON_DAY))).select(
+        *risk.GOLD_COLUMNS)

@@ -106,6 +106,31 @@ class Warehouse:
         return risk.risk(self.velocity(window_days), self.products, self.suppliers,
                          self.shelf_life, threshold)
 
+    def gold_for_day(self, day, window_days: int = SELL_THROUGH_WINDOW_DAYS,
+                     threshold: float = SPOILAGE_FLAG_THRESHOLD) -> DataFrame:
+        """Gold rows of one day from only the facts it depends on.
+
+        A day's trailing mean needs the previous ``window_days - 1`` days, so
+        the facts are cut to [day - (window_days - 1), day] before the spine
+        is built; on stored facts these date filters reach the Parquet scan.
+        The result equals the full build's rows for that day.
+        """
+        d = F.to_date(F.lit(str(day)))
+        lo = F.date_sub(d, window_days - 1)
+        inv = self.inventory.where(F.col("snapshot_date").between(lo, d))
+        sales = self.sales.where(F.col("sale_date").between(lo, d))
+        v = velocity.sell_through(inv, sales, window_days)
+        gold = risk.risk(v, self.products, self.suppliers, self.shelf_life, threshold)
+        return gold.where(F.col("snapshot_date") == d)
+
+    def refresh_gold_day(self, path: str, day, window_days: int = SELL_THROUGH_WINDOW_DAYS,
+                         threshold: float = SPOILAGE_FLAG_THRESHOLD) -> None:
+        """Recompute one day of a stored gold mart in place (dynamic overwrite:
+        the other days' partitions are untouched)."""
+        gold = risk.with_computed_at(self.gold_for_day(day, window_days, threshold))
+        (gold.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("snapshot_date").parquet(path))
+
     def gold_table(self, window_days: int = SELL_THROUGH_WINDOW_DAYS,
                    threshold: float = SPOILAGE_FLAG_THRESHOLD) -> DataFrame:
         """The gold mart as a stored table, built once per warehouse.
