@@ -35,6 +35,13 @@ def latest_day(df: DataFrame, date_col: str = "snapshot_date") -> DataFrame:
     return df.join(F.broadcast(newest), date_col, "left_semi")
 
 
+def newest_day(gold: DataFrame, date_col: str = "snapshot_date"):
+    """The newest date as a Python value (one scalar; on a table partitioned by
+    the date this reads partition values only). Filtering with it as a literal
+    lets the scan prune to that day's folder."""
+    return gold.agg(F.max(date_col)).first()[0]
+
+
 def stockout_lost_revenue(flag: Column, sell_through: Column, unit_price: Column) -> Column:
     return F.when(flag == "STOCKOUT", sell_through * unit_price).otherwise(F.lit(0.0))
 
@@ -53,7 +60,7 @@ def enriched_rows(gold: DataFrame, products: DataFrame, stores: DataFrame,
     """
     g = gold
     if snapshot_date is not None:
-        g = g.where(F.col("snapshot_date") == F.to_date(F.lit(snapshot_date)))
+        g = g.where(F.col("snapshot_date") == F.to_date(F.lit(str(snapshot_date))))
     if newest_only:
         g = latest_day(g)
     p = products.select("product_id", "product_name", "category", "unit_price", "unit_cost")

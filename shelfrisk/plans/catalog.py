@@ -155,8 +155,9 @@ def stockout_score_q(spark, sf_dir):
 # --------------------------------------------------------------------------- #
 def _enriched(spark, sf_dir, newest_only=False, ordered=False):
     w = Warehouse.of(spark, sf_dir)
-    return serving.enriched_rows(w.gold_table().drop("computed_at"), w.products, w.stores,
-                                 newest_only=newest_only, ordered=ordered)
+    gold = w.gold_table().drop("computed_at")
+    day = serving.newest_day(gold) if newest_only else None  # a scalar, as a dashboard picks it
+    return serving.enriched_rows(gold, w.products, w.stores, snapshot_date=day, ordered=ordered)
 
 
 @query("serve_enriched_day")
