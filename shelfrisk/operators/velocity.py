@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from shelfrisk.sources.schemas import SELL_THROUGH_WINDOW_DAYS
 
-KEYS = ("store_id", "product_id")
+KEYS = ("product_id", "store_id")
 
 
 def densify(df: DataFrame, keys: Sequence[str], date_col: str, fill: dict[str, object],

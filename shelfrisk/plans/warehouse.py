@@ -97,6 +97,21 @@ class Warehouse:
             "popularity",
         )
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose staging and marts as session temp views for ``spark.sql``
+        users (views stay lazy plans; only the gold mart is stored)."""
+        views = {
+            "dim_store": self.stores, "dim_product": self.dim_product,
+            "dim_supplier": self.suppliers, "dim_shelf_life": self.shelf_life,
+            "dim_date": self.dates, "fact_sales": self.sales,
+            "fact_inventory_snapshot": self.inventory,
+            "int_inventory_sell_through": self.velocity(),
+            "perishables_risk": self.gold_table(),
+        }
+        for name, df in views.items():
+            df.createOrReplaceTempView(prefix + name)
+        return [prefix + n for n in views]
+
     def velocity(self, window_days: int = SELL_THROUGH_WINDOW_DAYS) -> DataFrame:
         return velocity.sell_through(self.inventory, self.sales, window_days)
 
