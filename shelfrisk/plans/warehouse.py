@@ -22,7 +22,7 @@ from shelfrisk.sources.schemas import SELL_THROUGH_WINDOW_DAYS, SPOILAGE_FLAG_TH
 
 
 class Warehouse:
-    _instances: dict[tuple[int, str], "Warehouse"] = {}
+    _instances: dict[tuple[str, int, str], "Warehouse"] = {}
     _lock = threading.Lock()
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -38,7 +38,7 @@ class Warehouse:
         DataFrames are immutable plans, so queries of one session share them
         (and the materialised marts) instead of re-analysing the same plan.
         """
-        key = (id(spark._jsparkSession), sf_dir)
+        key = (spark.sparkContext.applicationId, id(spark._jsparkSession), sf_dir)
         with cls._lock:
             if key not in cls._instances:
                 cls._instances[key] = cls(spark, sf_dir)
