@@ -111,6 +111,60 @@ def flags_by_dimension(rows: DataFrame, dimension: str) -> DataFrame:
     return counts.select(dimension, *[F.col(f).cast("bigint").alias(f) for f in RISK_FLAGS])
 
 
+def flags_by_dimension_from_gold(gold: DataFrame, dim_table: DataFrame, key: str,
+                                 dimension: str) -> DataFrame:
+    """``flags_by_dimension`` over all gold rows, aggregating before the join.
+
+    Flag counts are taken per dimension key first (map-side combined), so only
+    (key, flag) rows meet the dimension table instead of every gold row.
+    """
+    if dimension not in PIVOT_DIMENSIONS:
+        raise ValueError(f"unsupported dimension: {dimension}")
+    per_key = gold.groupBy(key, "risk_flag").agg(F.count("product_id").alias("n"))
+    labelled = per_key.join(dim_table.select(key, dimension), key, "left")
+    counts = (
+        labelled.where(F.col(dimension).isNotNull())
+        .groupBy(dimension).pivot("risk_flag", list(RISK_FLAGS)).agg(F.sum("n"))
+        .na.fill(0, list(RISK_FLAGS))
+    )
+    return counts.select(dimension, *[F.col(f).cast("bigint").alias(f) for f in RISK_FLAGS])
+
+
+def kpis_from_gold(gold: DataFrame, products: DataFrame, scale: int = 5) -> DataFrame:
+    """``kpis`` over all gold rows, aggregating per product before the join.
+
+    Money at stake is price x sell-through (STOCKOUT) and cost x score x
+    on-hand (SPOILAGE); summed as DECIMAL, the per-product factor comes out of
+    the sum exactly, so one row per product meets the price list instead of
+    every gold row. Same result as ``kpis(enriched_rows(...))``.
+    """
+    dec = f"decimal(38,{scale})"
+    flag = F.col("risk_flag")
+    per_product = gold.groupBy("product_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        count_where(flag == "OK").alias("ok"),
+        count_where(flag == "STOCKOUT").alias("stockout"),
+        count_where(flag == "SPOILAGE").alias("spoilage"),
+        F.sum(F.when(flag == "STOCKOUT", F.col("trailing_7d_sell_through")).cast(dec)).alias("st"),
+        F.sum(F.when(flag == "SPOILAGE", F.col("spoilage_risk_score") * F.col("on_hand_qty"))
+              .cast(dec)).alias("exposure"),
+    )
+    priced = per_product.join(products.select("product_id", "unit_price", "unit_cost"),
+                              "product_id", "left")
+    total = F.sum("rows")
+    ok = F.sum("ok")
+    lost = F.sum(F.col("st") * F.col("unit_price").cast(dec))
+    spoil = F.sum(F.col("exposure") * F.col("unit_cost").cast(dec))
+    return priced.agg(
+        F.coalesce(total, F.lit(0)).cast("bigint").alias("sku_days"),
+        F.when(total > 0, ok / total * 100).otherwise(F.lit(0.0)).alias("ok_pct"),
+        F.coalesce(F.sum("stockout"), F.lit(0)).cast("bigint").alias("stockout_count"),
+        F.coalesce(F.sum("spoilage"), F.lit(0)).cast("bigint").alias("spoilage_count"),
+        F.coalesce(lost.cast(dec).cast("double"), F.lit(0.0)).alias("stockout_lost_revenue_per_day"),
+        F.coalesce(spoil.cast(dec).cast("double"), F.lit(0.0)).alias("spoilage_cost_at_risk"),
+    )
+
+
 def top_risks(rows: DataFrame, flag: str, n: int = 25) -> DataFrame:
     """Prioritised action list: the n rows with the most money at stake."""
     if flag not in FLAG_METRIC:

@@ -175,8 +175,9 @@ def serve_slice(spark, sf_dir):
 
 @query("kpis")
 def kpis_q(spark, sf_dir):
-    """KPI row over every enriched risk row."""
-    return serving.kpis(_enriched(spark, sf_dir))
+    """KPI row over every risk row (aggregated per product before pricing)."""
+    w = Warehouse.of(spark, sf_dir)
+    return serving.kpis_from_gold(w.gold_table(), w.products)
 
 
 @query("kpis_day_slice")
@@ -188,17 +189,22 @@ def kpis_day_slice(spark, sf_dir):
 
 @query("flags_by_region")
 def flags_by_region(spark, sf_dir):
-    return serving.flags_by_dimension(_enriched(spark, sf_dir), "region")
+    w = Warehouse.of(spark, sf_dir)
+    return serving.flags_by_dimension_from_gold(w.gold_table(), w.stores, "store_id", "region")
 
 
 @query("flags_by_category")
 def flags_by_category(spark, sf_dir):
-    return serving.flags_by_dimension(_enriched(spark, sf_dir), "category")
+    w = Warehouse.of(spark, sf_dir)
+    return serving.flags_by_dimension_from_gold(w.gold_table(), w.products, "product_id",
+                                                "category")
 
 
 @query("flags_by_store")
 def flags_by_store(spark, sf_dir):
-    return serving.flags_by_dimension(_enriched(spark, sf_dir), "store_name")
+    w = Warehouse.of(spark, sf_dir)
+    return serving.flags_by_dimension_from_gold(w.gold_table(), w.stores, "store_id",
+                                                "store_name")
 
 
 @query("top_stockouts")

@@ -78,3 +78,13 @@ def test_available_dates_and_trend(rows):
     assert [r[0] for r in serving.available_dates(rows).collect()] == ["2026-07-30"]
     trend = {(r["risk_flag"]): r["n"] for r in serving.daily_trend(rows).collect()}
     assert trend == {"OK": 1, "STOCKOUT": 1, "SPOILAGE": 1}
+
+
+def test_pre_aggregated_forms_match_row_level(spark, rows):
+    gold = rows.select("store_id", "product_id", "snapshot_date", "on_hand_qty",
+                       "trailing_7d_sell_through", "spoilage_risk_score", "risk_flag")
+    products = rows.select("product_id", "category", "unit_price", "unit_cost").distinct()
+    stores = rows.select("store_id", "region").distinct()
+    assert serving.kpis_from_gold(gold, products).first() == serving.kpis(rows).first()
+    a = serving.flags_by_dimension_from_gold(gold, stores, "store_id", "region").collect()
+    assert sorted(a) == sorted(serving.flags_by_dimension(rows, "region").collect())
