@@ -83,6 +83,34 @@ def row_checks(df: DataFrame, target: str, checks: Mapping[str, Column]) -> Data
                     (F.col("violations") == 0).alias("passed")))
 
 
+def grain_and_row_checks(df: DataFrame, target: str, keys: Sequence[str],
+                         checks: Mapping[str, Column]) -> DataFrame:
+    """``unique(keys)`` plus ``row_checks`` from ONE scan and one shuffle.
+
+    Rows are grouped by the grain with per-group violation counts; a second
+    (single-row) aggregate sums them and counts the duplicated groups (keys
+    all non-null, as in ``unique``). Same rows as the two checks apart.
+    """
+    keys = list(keys)
+    names = list(checks)
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    groups = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[count_where(checks[n]).alias(f"_c{i}") for i, n in enumerate(names)])
+    totals = groups.agg(
+        count_where((F.col("_n") > 1) & present).alias("_dup"),
+        *[F.sum(f"_c{i}").cast("bigint").alias(f"_c{i}") for i in range(len(names))])
+    rows = F.array(
+        F.struct(F.lit(f"unique({', '.join(keys)})").alias("check"), F.col("_dup").alias("violations")),
+        *[F.struct(F.lit(n).alias("check"), F.coalesce(F.col(f"_c{i}"), F.lit(0)).cast("bigint")
+                   .alias("violations")) for i, n in enumerate(names)])
+    return (totals.select(F.inline(rows))
+            .select(F.lit(target).alias("target"), "check", "violations",
+                    (F.col("violations") == 0).alias("passed")))
+
+
 # -- key checks ----------------------------------------------------------------
 def unique(df: DataFrame, target: str, keys: Sequence[str]) -> DataFrame:
     """Key groups (all keys non-null) that occur more than once."""
@@ -193,8 +221,7 @@ def inventory_suite(inventory: DataFrame, target: str = "fact_inventory_snapshot
 
     return union_all([
         required_columns(inventory, target, INVENTORY_COLUMNS),
-        unique(inventory, target, GRAIN),
-        row_checks(inventory, target, {
+        grain_and_row_checks(inventory, target, GRAIN, {
             "not_null(snapshot_date)": is_null("snapshot_date"),
             "min(on_hand_qty) >= 0": below("on_hand_qty", 0),
             "min(received_qty) >= 0": below("received_qty", 0),
@@ -214,7 +241,7 @@ def risk_suite(gold: DataFrame, target: str = "perishables_risk") -> DataFrame:
     }
     if "computed_at" in gold.columns:
         checks["not_null(computed_at)"] = is_null("computed_at")
-    return union_all([unique(gold, target, GRAIN), row_checks(gold, target, checks)])
+    return grain_and_row_checks(gold, target, GRAIN, checks)
 
 
 def all_passed(results: DataFrame) -> bool:

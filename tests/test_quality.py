@@ -45,3 +45,13 @@ def test_flag_consistency_and_gate(spark, tmp_path):
                             {"flag": quality.flag_disagrees(0.7)})
     assert quality.promote_if_passing(gold, ok, str(tmp_path / "promoted")) is True
     assert spark.read.parquet(str(tmp_path / "promoted")).count() == 2
+
+
+def test_fused_suite_equals_separate_checks(spark):
+    df = spark.createDataFrame([("a", 1, -1), ("a", 1, 2), ("b", 2, 3), (None, 3, None), (None, 3, 1)],
+                               "k string, d int, q int")
+    checks = {"q >= 0": quality.below("q", 0), "not_null(q)": quality.is_null("q")}
+    fused = _result(quality.grain_and_row_checks(df, "t", ["k", "d"], checks))
+    apart = _result(quality.union_all([quality.unique(df, "t", ["k", "d"]),
+                                       quality.row_checks(df, "t", checks)]))
+    assert fused == apart == {("t", "unique(k, d)"): 1, ("t", "q >= 0"): 1, ("t", "not_null(q)"): 1}
