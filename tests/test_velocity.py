@@ -67,3 +67,24 @@ def test_incremental_day_equals_full_build(spark, tmp_path):
     before = spark.read.parquet(path).count()
     w.refresh_gold_day(path, day)
     assert spark.read.parquet(path).count() == before  # only that day was replaced
+
+
+def test_bucketed_facts_need_no_shuffle(spark, tmp_path):
+    from shelfrisk.plans.warehouse import Warehouse
+    from shelfrisk.sources import lake
+
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    lake.write_bucketed_table(w.inventory, "t_inventory_bucketed", 4, ["product_id"],
+                              ["product_id", "store_id", "snapshot_date"], str(tmp_path / "inv"))
+    lake.write_bucketed_table(w.sales, "t_sales_bucketed", 4, ["product_id"],
+                              ["product_id", "store_id", "sale_date"], str(tmp_path / "sales"))
+    inv, sales = spark.table("t_inventory_bucketed"), spark.table("t_sales_bucketed")
+    v = sell_through(inv, sales, 7, partition_col=None)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the at-scale join strategy
+    try:
+        plan = v._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert v.count() == w.inventory.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
