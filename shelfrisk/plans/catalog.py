@@ -498,7 +498,7 @@ def dq_suite_risk(spark, sf_dir):
 def decode_payload(spark, sf_dir):
     """base64 envelopes decoded and parsed; bad payloads come back NULL."""
     configure(spark)
-    recs = event_source.kinesis_records(event_source.event_records(spark, sf_dir))
+    recs = event_source.enveloped_records(event_source.event_records(spark, sf_dir))
     v = events.decode_base64_json(F.col("data"))
     return recs.select("record_id", v.isNotNull().alias("payload_is_json"),
                        F.try_variant_get(v, "$.event_type", "string").alias("event_type"))
