@@ -57,17 +57,26 @@ def spoilage_by_category(inventory: DataFrame, products: DataFrame,
                          shelf_life: DataFrame) -> DataFrame:
     """Spoiled vs received units and mean current shelf life per category.
 
-    rate = spoiled / max(received, 1). The product-grain attributes are
-    joined before they meet the snapshot, and the aggregate combines map-side.
+    rate = spoiled / max(received, 1); shelf is the mean over snapshot rows
+    (products without a current shelf life are left out, as in an inner
+    join). The snapshot is summed per product before it meets the product
+    attributes, so one row per product is joined instead of every snapshot
+    row; the row-weighted mean is recovered exactly from integer sums.
     """
     current = shelf_life.where("is_current").select("product_id", "shelf_life_days")
     attrs = products.select("product_id", "category").join(current, "product_id")
+    per_product = inventory.groupBy("product_id").agg(
+        F.sum("spoiled_qty").cast("bigint").alias("spoiled"),
+        F.sum("received_qty").cast("bigint").alias("received"),
+        F.count(F.lit(1)).alias("rows"),
+    )
     by_cat = (
-        inventory.select("product_id", "spoiled_qty", "received_qty").join(attrs, "product_id")
+        per_product.join(attrs, "product_id")
         .groupBy("category")
-        .agg(F.sum("spoiled_qty").cast("bigint").alias("spoiled"),
-             F.sum("received_qty").cast("bigint").alias("received"),
-             F.avg("shelf_life_days").alias("shelf"))
+        .agg(F.sum("spoiled").cast("bigint").alias("spoiled"),
+             F.sum("received").cast("bigint").alias("received"),
+             (F.sum(F.col("rows") * F.col("shelf_life_days")).cast("double")
+              / F.sum("rows")).alias("shelf"))
     )
     return by_cat.withColumn("rate", F.col("spoiled") / F.greatest(F.col("received"), F.lit(1)))
 
