@@ -225,7 +225,8 @@ def _sales_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     order_nation = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
         "o_orderkey", "c_nationkey")
     return (
-        li.join(order_nation, li.l_orderkey == order_nation.o_orderkey)
+        li.where(F.col("l_partkey").isNotNull())  # a line item without a part sells no product
+        .join(order_nation, li.l_orderkey == order_nation.o_orderkey)
         .groupBy(F.col("c_nationkey").alias("store_key"), F.col("l_partkey").alias("product_key"),
                  season_day(F.col("l_shipdate")).alias("day"))
         .agg(F.sum("l_quantity").alias("qty"))
