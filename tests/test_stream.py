@@ -38,3 +38,17 @@ def test_stream_end_to_end(spark):
     assert len(rows) == 30
     assert all(r["event_date"] and r["ingest_ts"] and r["dt"] == r["event_date"] for r in rows)
     assert job.read_rejects(spark, lake).count() == 5
+
+
+def test_replayed_batch_replaces_its_output(spark):
+    """A micro-batch re-run after a failure overwrites its own files."""
+    lake = job.Lake(scratch_path(spark, "test-replay-lake"))
+    batch = spark.createDataFrame([(json.dumps(_event(i)),) for i in range(6)] + [("[1]",)],
+                                  "value string")
+    deliver = job.split_and_deliver(lake)
+    deliver(batch, 7)
+    deliver(batch, 7)  # replay of the same batch id
+    deliver(batch.limit(2), 8)
+    assert job.read_good(spark, lake).count() == 6 + 2
+    assert job.read_rejects(spark, lake).count() == 1
+    assert job.read_summary(spark, lake).where("batch_id = 7").count() == 1
