@@ -83,13 +83,14 @@ def parse(df: DataFrame, value_col: str = "value") -> DataFrame:
 
     Adds the VARIANT (NULL for text that is not valid JSON), whether it is an
     object, and per field its VARIANT type name (NULL when absent, VOID for a
-    JSON null), its text and, for quantities and prices, its numeric value.
+    JSON null); the envelope fields' text; the quantities' and price's number.
     The rules below read these columns, so no field is extracted twice.
     """
     parsed = df.withColumn(PARSED, F.try_parse_json(F.col(value_col)))
     cols = {"_is_object": F.schema_of_variant(F.col(PARSED)).startswith("OBJECT")}
     for f in FIELDS:
         cols[f"_t_{f}"] = F.schema_of_variant(_field(f))
+    for f in COMMON_EVENT_FIELDS:
         cols[f"_s_{f}"] = F.try_variant_get(F.col(PARSED), f"$.{f}", "string")
     for f in NUMERIC_FIELDS:
         cols[f"_n_{f}"] = F.try_variant_get(F.col(PARSED), f"$.{f}", "double")
