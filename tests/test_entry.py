@@ -58,3 +58,12 @@ def test_sql_views_and_dim_writer(spark, tmp_path):
     lake.write_dims({"dim_store": w.stores}, str(tmp_path))
     assert spark.read.parquet(str(tmp_path / "dims" / "dim_store.parquet")).count() == 25
     assert spark.read.option("header", True).csv(str(tmp_path / "dims_csv" / "dim_store")).count() == 25
+
+
+@pytest.mark.parametrize("name", ["risk_gold", "serve_enriched_day", "kpis", "event_validate",
+                                  "supplier_conform", "dq_suite_inventory"])
+def test_plans_stay_jvm_side(spark, name):
+    """No Python evaluation in these plans (only fifo_aging uses mapInPandas)."""
+    df = entry_module.queries()[name](spark, SMOKE_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "PythonUDF" not in plan and "MapInPandas" not in plan
