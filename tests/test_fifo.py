@@ -46,3 +46,28 @@ def test_fifo_matches_lot_simulation(spark):
                for r in fn(ledger, ["store_id", "product_id"], "day", "received", "demand",
                            "life", "opening").collect()}
         assert got == expected, fn.__name__
+
+
+def test_fifo_series_split_across_arrow_batches(spark):
+    """Tiny Arrow batches cut series mid-way; the carry-over must stitch them."""
+    rng = random.Random(11)
+    rows, expected = [], {}
+    for s in range(12):
+        life, opening, n = rng.randint(1, 5), rng.randint(0, 9), rng.randint(5, 20)
+        days = [(rng.choice([0, rng.randint(1, 9)]), rng.randint(0, 6)) for _ in range(n)]
+        for t, (r, d) in enumerate(days):
+            rows.append(("S", f"P{s:02d}", t, r, d, life, opening))
+        for t, v in enumerate(_brute(days, life, opening)):
+            expected[("S", f"P{s:02d}", t)] = v
+    ledger = spark.createDataFrame(
+        rows, "store_id string, product_id string, day int, received long, demand long, "
+              "life long, opening long").repartition(1)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {(r["store_id"], r["product_id"], r["day"]): tuple(r[c] for c in OUT_FIELDS)
+               for r in fifo_age(ledger, ["store_id", "product_id"], "day", "received", "demand",
+                                 "life", "opening").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got == expected
