@@ -33,8 +33,6 @@ RUNTIME_CONF = {
     # (store, product, date) and a window over (store, product) then reuse that
     # partitioning instead of shuffling the dense spine again.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
-    # Dynamic partition overwrite: reloading one day replaces only that day.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
