@@ -77,8 +77,8 @@ def _tables() -> dict[str, np.ndarray]:
 _TABLES: dict[str, np.ndarray] = {}
 
 
-def _hash_words(data: np.ndarray) -> np.ndarray:
-    """A hash of every word of a piece of UTF-8 text: polynomial sums between the word's borders."""
+def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of every word of a piece of UTF-8 text (polynomial sums between the word's borders), and its start."""
     t = _TABLES
     low = t["lower"][data]
     word = np.empty(len(data) + 2, bool)
@@ -88,7 +88,11 @@ def _hash_words(data: np.ndarray) -> np.ndarray:
     start, end = edges[0::2], edges[1::2]
     sums = np.zeros(len(data) + 1, U)
     np.cumsum(t["value"][low] * t["up"][: len(data)], out=sums[1:])
-    return mix((sums[end] - sums[start]) * t["down"][start] + (end - start).astype(U))
+    return mix((sums[end] - sums[start]) * t["down"][start] + (end - start).astype(U)), start
+
+
+def _hash_words(data: np.ndarray) -> np.ndarray:
+    return _words(data)[0]
 
 
 def word_hashes(data: np.ndarray) -> np.ndarray:
@@ -123,18 +127,44 @@ def hash_long(data: np.ndarray) -> np.uint64:
     return got
 
 
+def shingle_hashes(words: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct shingle hashes of some texts, one text after the other, and how many each has.
+
+    ``words``: the texts' word hashes, ``count``: each text's number of words.
+    """
+    place, first = _TABLES["place"], np.cumsum(count) - count
+    total = np.full(max(0, len(words) - WORDS + 1), U(WORDS))
+    for j in range(WORDS):
+        total = total + words[j : len(words) - WORDS + 1 + j] * place[j]
+    total = mix(total)
+    sets, owner = [], np.repeat(np.arange(len(count)), np.maximum(count - WORDS + 1, 0) + ((count > 0) & (count < WORDS)))
+    for at, n in zip(first.tolist(), count.tolist(), strict=True):
+        if n >= WORDS:
+            sets.append(np.sort(total[at : at + n - WORDS + 1]))
+        elif n:
+            sets.append(mix(np.array([(words[at : at + n] * place[:n]).sum(dtype=U)], U) + U(n)))
+    if not sets:
+        return np.zeros(0, U), np.zeros(len(count), np.int64)
+    got = np.concatenate(sets)
+    new = np.concatenate(([True], (got[1:] != got[:-1]) | (owner[1:] != owner[:-1])))
+    return got[new], np.bincount(owner[new], minlength=len(count))
+
+
+def shingle_sets(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_hashes`` of texts given as bytes; all but a long one fit into a piece together."""
+    if not _TABLES:
+        _TABLES.update(_tables())
+    if len(texts) == 1:
+        words = word_hashes(texts[0])
+        return shingle_hashes(words, np.array([len(words)]))
+    data = np.frombuffer(b" ".join([x.tobytes() for x in texts]), np.uint8)
+    ends = np.cumsum([len(x) + 1 for x in texts])
+    words, start = _words(data)
+    return shingle_hashes(words, np.diff(np.searchsorted(start, ends), prepend=0))
+
+
 def shingle_set(data: np.ndarray) -> np.ndarray:
-    """The sorted distinct shingle hashes of a text's bytes."""
-    words = word_hashes(data)
-    if not len(words):
-        return words
-    place = _TABLES["place"]
-    width = min(WORDS, len(words))
-    total = np.full(len(words) - width + 1, U(width))
-    for j in range(width):
-        total = total + words[j : len(words) - width + 1 + j] * place[j]
-    got = np.sort(mix(total))
-    return got[np.concatenate(([True], got[1:] != got[:-1]))]
+    return shingle_sets([data])[0]
 
 
 def _bands(most: int) -> list[tuple[int, int]]:
@@ -153,40 +183,50 @@ def differences(smaller: int) -> int:
     return (smaller + smaller * q // p) * (q - p) // (q + p)
 
 
+SUBSETS = np.array(list(itertools.combinations(range(N2), N2 - K2)))
+
+
 @np.errstate(over="ignore")
-def signatures(elements: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
-    """PartEnum signatures of a sorted set of hashes: (band, need, signatures) for each band it takes part in.
+def signatures(elements: np.ndarray, sizes: np.ndarray):
+    """PartEnum signatures of some sets, given as by ``shingle_hashes``: (band, sets, need, count, signatures).
 
-    A similar set shares at least ``need`` of the band's signatures: so many first-level partitions must have
-    at most ``K2`` differences and no empty subset. Where that is no guarantee, the prefix follows.
+    For each band: the sets that take part, how many signatures each must share with a similar set (so many of its
+    first-level partitions must have at most ``K2`` differences and no empty subset), how many it has, and all of
+    them in order. Sets for which that is no guarantee also have their prefix.
     """
-    n, (p, q) = len(elements), LIMIT
-    weights, out, safe = mix(elements ^ U(0x5851F42D4C957F2D)), [], True
-    for band, (low, high) in enumerate(_bands(n)):
-        if n * p > (high - 1) * q:  # too large to be similar to any smaller set of the band
+    p, q = LIMIT
+    weights, first = mix(elements ^ U(0x5851F42D4C957F2D)), np.cumsum(sizes) - sizes
+    safe = np.ones(len(sizes), bool)
+
+    def rows(sets: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return np.arange(n.sum()) + np.repeat(first[sets] - (np.cumsum(n) - n), n)
+
+    for band, (low, high) in enumerate(_bands(int(sizes.max(initial=0)))):
+        # a set that is larger than the similar ones of the band's sets may be doesn't take part
+        sets = np.flatnonzero((sizes >= low) & (sizes * p <= (high - 1) * q))
+        if not len(sets):
             continue
-        k = differences(high - 1)
+        n, k = sizes[sets], differences(high - 1)
+        own = rows(sets, n)
         if k == 0:
-            out.append((band, 1, mix(np.array([weights.sum(dtype=U)], U) + U(band + 1))))
+            total = np.add.reduceat(weights[own], np.cumsum(n) - n)
+            yield band, sets, np.ones(len(sets), int), np.ones(len(sets), int), mix(total + U(band + 1))
             continue
         n1 = k // (K2 + 1) + 2 + int(SPARE * k)
-        part = ((elements >> U(32)) * U(n1 * N2)) >> U(32)
-        first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        sums, seen = np.zeros(n1 * N2, U), np.zeros(n1 * N2, bool)
-        sums[part[first]], seen[part[first]] = np.add.reduceat(weights, first), True
-        sums, seen, empty, got = sums.reshape(n1, N2), seen.reshape(n1, N2), np.zeros(n1, bool), []
-        key = np.arange(n1, dtype=U) * U(0x9E3779B97F4A7C15) + U((band + 1) * 64)
-        for c, subset in enumerate(itertools.combinations(range(N2), N2 - K2)):
-            total, full = sums[:, subset].sum(axis=1, dtype=U), seen[:, subset].any(axis=1)
-            got.append(mix(mix(total) + key + U(c))[full])
-            empty |= ~full
-        need = n1 - differences(min(n, high - 1)) // (K2 + 1) - int(empty.sum())
-        safe &= need >= 1
-        out.append((band, max(1, need), np.concatenate(got)))
-    if not safe:
-        keep = n - -(-n * p // q) + 1
-        out.append((PREFIX, 1, mix(elements[:keep] + U(0x2545F4914F6CDD1D))))
-    return out
+        part = ((elements[own] >> U(32)) * U(n1 * N2) >> U(32)).astype(np.int64) + np.repeat(np.arange(len(sets)) * (n1 * N2), n)
+        head = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        sums, seen = np.zeros(len(sets) * n1 * N2, U), np.zeros(len(sets) * n1 * N2, bool)
+        sums[part[head]], seen[part[head]] = np.add.reduceat(weights[own], head), True
+        total = sums.reshape(-1, n1, N2)[:, :, SUBSETS].sum(axis=3, dtype=U)
+        full = seen.reshape(-1, n1, N2)[:, :, SUBSETS].any(axis=3)
+        key = np.arange(n1 * len(SUBSETS), dtype=U).reshape(n1, -1) * U(0x9E3779B97F4A7C15) + U(band + 1)
+        need = n1 - np.array([differences(x) for x in range(low, high)])[np.minimum(n, high - 1) - low] // (K2 + 1) - (~full).any(axis=2).sum(axis=1)
+        safe[sets[need < 1]] = False
+        yield band, sets, np.maximum(need, 1), full.sum(axis=(1, 2)), mix(total + key)[full]
+    sets = np.flatnonzero(~safe)
+    if len(sets):
+        n = sizes[sets] - -(-sizes[sets] * p // q) + 1
+        yield PREFIX, sets, np.ones(len(sets), int), n, mix(elements[rows(sets, n)] + U(0x2545F4914F6CDD1D))
 
 
 def _texts(column: pa.Array):
@@ -199,17 +239,28 @@ def _texts(column: pa.Array):
         yield None if nulls[i] else data[offsets[i] : offsets[i + 1]]
 
 
-def _sizes(batches):
+def _chunks(batches):
+    """Texts not met before in the task, as many as fill a piece: their MD5 names and bytes."""
+    seen: set[str] = set()
+    names, texts, held = [], [], 0
     for batch in batches:
-        got = [0 if x is None else len(shingle_set(x)) for x in _texts(batch.column("_text"))]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("_doc"), batch.column("_md5"), pa.array(got, pa.int64())], names=["_doc", "_md5", "_n"])
-
-
-def _grouped(sigs: list[np.ndarray], owners: list[int]) -> pa.RecordBatch:
-    """One block of a task. The smallest owner of each signature has salt 0, or -1 if others follow with theirs."""
-    sig = np.concatenate(sigs).view(np.int64)
-    owner = np.repeat(np.array(owners, np.int64), [len(x) for x in sigs])
+        for name, tid, text in zip(batch.column("_md5").to_pylist(), batch.column("_tid").to_pylist(), _texts(batch.column("_text")), strict=True):
+            if text is None or name in seen:
+                continue
+            seen.add(name)
+            if texts and held + len(text) >= PIECE:
+                yield names, texts
+                names, texts, held = [], [], 0
+            names.append((name, tid))
+            texts.append(text.copy())
+            held += len(text) + 1
+    if texts:
+        yield names, texts
+
+
+def _grouped(sigs: list[np.ndarray], owners: list[np.ndarray]) -> pa.RecordBatch:
+    """One block of a task. The first owner of each signature has salt 0, or -1 if others follow with theirs."""
+    sig, owner = np.concatenate(sigs).view(np.int64), np.concatenate(owners)
     order = np.argsort(sig, kind="stable")
     sig, owner = sig[order], owner[order]
     first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
@@ -219,31 +270,33 @@ def _grouped(sigs: list[np.ndarray], owners: list[int]) -> pa.RecordBatch:
 
 
 def _signed(batches):
-    seen: set[str] = set()
+    """Rows of signatures (sig, owner, salt), and for each text its number of shingles: (hash, hash, -2 - number)."""
     sigs, owners, held = [], [], 0
-    for batch in batches:
-        for tid, md5, text in zip(batch.column("_tid").to_pylist(), batch.column("_md5").to_pylist(),
-                                  _texts(batch.column("_text")), strict=True):
-            if text is None or md5 in seen:
-                continue
-            seen.add(md5)
-            for band, need, got in signatures(shingle_set(text)):
-                sigs.append(got)
-                owners.append(min(need, 255) << 48 | band << 40 | tid)
-                held += len(got)
-            if held >= BLOCK:
-                yield _grouped(sigs, owners)
-                sigs, owners, held = [], [], 0
+    for names, texts in _chunks(batches):
+        elements, sizes = shingle_sets(texts)
+        tids = np.array([tid for _, tid in names], np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(tids), pa.array([int(name[:15], 16) for name, _ in names], pa.int64()),
+                                          pa.array((-2 - sizes).astype(np.int32))], names=["sig", "owner", "salt"])
+        for band, sets, need, count, got in signatures(elements, sizes):
+            owner = np.minimum(need, 255) << 48 | band << TID_BITS | tids[sets] & ((1 << TID_BITS) - 1)
+            sigs.append(got)
+            owners.append(np.repeat(owner, count))
+            held += len(got)
+        if held >= BLOCK:
+            yield _grouped(sigs, owners)
+            sigs, owners, held = [], [], 0
     if held:
         yield _grouped(sigs, owners)
 
 
 def _runs(sig: np.ndarray, owner: np.ndarray, salt: np.ndarray) -> pa.RecordBatch:
-    """Of whole runs of one signature: the rows of those with more than one owner."""
-    first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+    """Of whole runs of one signature: the rows of those with more than one owner. Rows with sizes go on as they are."""
+    sizes = salt < -1
+    first = np.flatnonzero(np.concatenate(([True], (sig[1:] != sig[:-1]) | sizes[1:] | sizes[:-1])))
     many = (np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)) | (np.minimum.reduceat(salt, first) < 0)
-    rows = np.repeat(many, np.diff(np.append(first, len(sig)))) | (salt > 0)
-    return pa.RecordBatch.from_arrays([pa.array(sig[rows]), pa.array(owner[rows])], names=["sig", "owner"])
+    rows = np.repeat(many, np.diff(np.append(first, len(sig)))) | (salt > 0) | sizes
+    size = np.where(sizes, -2 - salt, -1)[rows].astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(sig[rows]), pa.array(owner[rows]), pa.array(size)], names=["sig", "owner", "size"])
 
 
 def _shared(batches):
@@ -287,11 +340,50 @@ def _verified(batches):
             yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep]), pa.array([b[i] for i in keep])], names=["a", "b"])
 
 
+def sketch(text: str | None) -> bytes:
+    """A bit map of about four bits a shingle in which each shingle turns one bit: sets that differ little have maps
+    that differ in at most as many bits. A power of two long, so that maps of unequal length fold onto each other."""
+    got = shingle_set(np.frombuffer((text or "").encode(), np.uint8))
+    bits = 1 << max(6, int(4 * len(got)).bit_length())
+    turned = np.bincount((got & U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return len(got).to_bytes(4, "little") + np.packbits(turned.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _sketched(batches):
+    for batch in batches:
+        got = [sketch(x.as_py()) for x in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.binary())], names=[*batch.schema.names, "sketch"])
+
+
+def may_link(x: bytes, y: bytes) -> bool:
+    p, q = LIMIT
+    a, b = int.from_bytes(x[:4], "little"), int.from_bytes(y[:4], "little")
+    if min(a, b) * q < max(a, b) * p:
+        return False
+    u, v = np.frombuffer(x, np.uint64, offset=4), np.frombuffer(y, np.uint64, offset=4)
+    if len(u) > len(v):
+        u, v = v, u
+    if len(v) > len(u):
+        v = np.bitwise_xor.reduce(v.reshape(-1, len(u)), axis=0)
+    return int(np.bitwise_count(u ^ v).sum()) * (p + q) <= (a + b) * (q - p)
+
+
+def _possible(batches):
+    for batch in batches:
+        keep = [may_link(x.as_py(), y.as_py()) for x, y in zip(batch.column("ta"), batch.column("tb"), strict=True)]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
 def links_among(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose texts are similar. ``texts``: (key, text)."""
-    left = texts.select(F.col("key").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("key").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "ta", "b", "tb").mapInArrow(_verified, "a string, b string")
+    """Those of the pairs (a, b) whose texts are similar. ``texts``: (key, text, sketch)."""
+
+    def with_both(rows: DataFrame, column: str) -> DataFrame:
+        left = texts.select(F.col("key").alias("a"), F.col(column).alias("ta"))
+        right = texts.select(F.col("key").alias("b"), F.col(column).alias("tb"))
+        return rows.join(left, "a").join(right, "b").select("a", "ta", "b", "tb")
+
+    possible = stored(with_both(pairs, "sketch").mapInArrow(_possible, "a string, b string"), "possible")
+    return with_both(possible, "text").mapInArrow(_verified, "a string, b string")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -309,12 +401,17 @@ def components(links: DataFrame) -> DataFrame:
             return label.select(F.col("a").alias("key"), F.col("c").alias("component"))
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """(sig, tid): signatures with all their owners, without owners that share too few to have a partner."""
+def signed_rows(docs: DataFrame) -> DataFrame:
+    """(sig, owner, size): signatures with more than one owner (size -1), and the texts' sizes by their hashes."""
     signed = docs.select("_tid", "_md5", "_text").mapInArrow(_signed, "sig long, owner long, salt int")
-    shared = stored(signed.withColumn("part", F.greatest("salt", F.lit(0))).repartition("sig", "part")
-                    .sortWithinPartitions("sig").select("sig", "owner", "salt")
-                    .mapInArrow(_shared, "sig long, owner long").distinct(), "shared")
+    return stored(signed.withColumn("part", F.greatest("salt", F.lit(0))).repartition("sig", "part")
+                  .sortWithinPartitions("sig").select("sig", "owner", "salt")
+                  .mapInArrow(_shared, "sig long, owner long, size int"), "shared")
+
+
+def candidates(shared: DataFrame) -> DataFrame:
+    """(sig, tid): signatures with all their owners, without owners that share too few to have a partner."""
+    shared = stored(shared.filter("size < 0").select("sig", "owner").distinct(), "shared")
     rows = shared.count()
     while True:
         enough = (shared.groupBy("owner").agg(F.count(F.lit(1)).alias("n"))
@@ -324,19 +421,25 @@ def candidates(docs: DataFrame) -> DataFrame:
         shared = stored(shared.join(many, "sig").select("sig", "owner"), "shared")
         left = shared.count()
         if left > 0.9 * rows:
-            return shared.select("sig", F.col("owner").bitwiseAND((1 << TID_BITS) - 1).alias("tid"))
+            break
         rows = left
+    member = shared.select("sig", F.col("owner").bitwiseAND((1 << TID_BITS) - 1).alias("tid"))
+    # of signatures with the same owners one is enough
+    alike = member.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("tid")).alias("x"), F.sum(F.hash("tid").cast("long")).alias("y"))
+    return member.join(alike.groupBy("n", "x", "y").agg(F.min("sig").alias("sig")).select("sig"), "sig")
 
 
-def similar_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def similar_groups(spark: SparkSession, docs: DataFrame, shared: DataFrame) -> DataFrame:
     """(key, component) of all distinct texts that have a link. ``docs``: (_doc, _text, _tid, _md5)."""
-    member = candidates(docs)
-    tids = stored(member.select(F.col("tid").alias("_tid")).distinct(), "tids")
-    texts = stored(docs.join(small(tids), "_tid", "left_semi")
-                   .groupBy("_md5").agg(F.first("_tid").alias("tid"), F.first("_text").alias("text"))
-                   .withColumnRenamed("_md5", "key"), "texts")
+    member = stored(candidates(shared), "candidates")
+    tids = stored(member.select("tid").distinct(), "tids")
+    own = F.col("_tid").bitwiseAND((1 << TID_BITS) - 1)
+    texts = (docs.withColumn("tid", own).join(small(tids), "tid", "left_semi")
+             .groupBy("_md5").agg(F.first("tid").alias("tid"), F.first("_text").alias("text"))
+             .withColumnRenamed("_md5", "key").mapInArrow(_sketched, "key string, tid long, text string, sketch binary"))
+    texts = stored(texts, "texts")
     keys = texts.select("tid", "key")
-    member = stored(member.join(keys, "tid").select("sig", "key"), "member")
+    member = stored(member.join(keys, "tid").select("sig", "key").distinct(), "member")
     star = member.join(member.groupBy("sig").agg(F.min("key").alias("b")), "sig").filter("key <> b")
     pairs = stored(star.select(F.col("key").alias("a"), "b").distinct(), "pairs")
     links = stored(links_among(pairs, texts), "verified")
@@ -346,14 +449,15 @@ def similar_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
         group = components(links)
         held = member.join(group, "key", "left").select("sig", "key", F.coalesce("component", "key").alias("c"))
         open_ = (held.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("n"))
-                 .filter("lo <> hi").filter(F.col("n") > near).select("sig"))
-        placed = stored(held.join(open_, "sig").select("sig", "key", "c", F.row_number().over(
+                 .filter("lo <> hi").filter(F.col("n") > near).select("sig", "n"))
+        placed = stored(held.join(open_, "sig").select("sig", "n", "key", "c", F.row_number().over(
             Window.partitionBy("sig").orderBy("key")).alias("at")), "open")
         if not placed.limit(1).count():
             return group
         far = near * 4
-        ahead = placed.select("sig", F.col("key").alias("a"), F.col("c").alias("ca"),
-                              F.explode(F.sequence(F.col("at") + near, F.col("at") + far - 1)).alias("at"))
+        ahead = (placed.filter(F.col("at") + near <= F.col("n"))
+                 .select("sig", F.col("key").alias("a"), F.col("c").alias("ca"),
+                         F.explode(F.sequence(F.col("at") + near, F.least(F.col("at") + far - 1, F.col("n")))).alias("at")))
         found = (ahead.join(placed, ["sig", "at"]).filter("ca <> c")
                  .select(F.col("key").alias("a"), F.col("a").alias("b")).distinct())
         found = stored(found.join(pairs, ["a", "b"], "left_anti").select("a", "b"), "pairs")
@@ -364,15 +468,18 @@ def similar_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def prepared(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     return docs.select(F.col("doc_id").cast("long").alias("_doc"), text.alias("_text"),
-                       F.xxhash64(text).bitwiseAND((1 << TID_BITS) - 1).alias("_tid"), F.md5(text).alias("_md5"))
+                       F.xxhash64(text).alias("_tid"), F.md5(text).alias("_md5"))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
     rows = prepared(docs)
-    group = similar_groups(spark, rows)
-    sizes = rows.select("_doc", "_md5", "_text").mapInArrow(_sizes, "_doc long, _md5 string, _n long")
-    sized = stored(sizes, "sizes")
+    shared = signed_rows(rows)
+    group = similar_groups(spark, rows, shared)
+    sizes = shared.filter("size >= 0").select(F.col("sig").alias("_tid"), F.col("owner").alias("_half"), F.col("size").cast("long").alias("_n")).distinct()
+    half = F.conv(F.substring("_md5", 1, 15), 16, 10).cast("long")
+    sized = stored(rows.select("_doc", "_md5", "_tid", half.alias("_half")).join(sizes, ["_tid", "_half"], "left")
+                   .select("_doc", "_md5", F.coalesce("_n", F.lit(0).cast("long")).alias("_n")), "sizes")
     group = group.select(F.col("key").alias("_md5"), F.col("component"))
     classes = (sized.filter("_n > 0").groupBy("_md5").agg(F.min("_doc").alias("least"), F.count(F.lit(1)).alias("copies"))
                .join(group, "_md5", "left").filter("copies > 1 OR component IS NOT NULL")
