@@ -11,9 +11,9 @@ such sets must share), so no pair is lost.
 Signatures are grouped task by task first, and of a group of copies or near copies one row a task goes
 to the signature's own partition, the others to salted ones. A document must share a known number of
 signatures to have a partner; those that share fewer are dropped. Within a signature all members are
-compared with its smallest one (a star); members that remain in different components are then compared
-with ever farther neighbours until every signature is settled. Pairs are always verified on the exact
-word sequences.
+compared with the one that shares most (a star); members that remain in different components are then
+compared with the next ones until every signature is settled. Bit maps exclude pairs whose sets must
+differ too much; the others are verified on the exact word sequences.
 
 Defined results: a null, empty or word-less text has the empty set and no links; with fewer words than
 ``WORDS`` the whole sequence is the one shingle; a null doc_id takes part like any other row and has
@@ -352,7 +352,9 @@ def sketch(text: str | None) -> bytes:
 def _sketched(batches):
     for batch in batches:
         got = [sketch(x.as_py()) for x in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.binary())], names=[*batch.schema.names, "sketch"])
+        sizes = [int.from_bytes(x[:4], "little") for x in got]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.binary()), pa.array(sizes, pa.int64())],
+                                         names=[*batch.schema.names, "sketch", "size"])
 
 
 def may_link(x: bytes, y: bytes) -> bool:
@@ -436,33 +438,38 @@ def similar_groups(spark: SparkSession, docs: DataFrame, shared: DataFrame) -> D
     own = F.col("_tid").bitwiseAND((1 << TID_BITS) - 1)
     texts = (docs.withColumn("tid", own).join(small(tids), "tid", "left_semi")
              .groupBy("_md5").agg(F.first("tid").alias("tid"), F.first("_text").alias("text"))
-             .withColumnRenamed("_md5", "key").mapInArrow(_sketched, "key string, tid long, text string, sketch binary"))
+             .withColumnRenamed("_md5", "key").mapInArrow(_sketched, "key string, tid long, text string, sketch binary, size long"))
     texts = stored(texts, "texts")
-    keys = texts.select("tid", "key")
-    member = stored(member.join(keys, "tid").select("sig", "key").distinct(), "member")
-    star = member.join(member.groupBy("sig").agg(F.min("key").alias("b")), "sig").filter("key <> b")
-    pairs = stored(star.select(F.col("key").alias("a"), "b").distinct(), "pairs")
-    links = stored(links_among(pairs, texts), "verified")
-    # What the stars left open: members of one signature in different components, compared at growing distance.
-    near = 1
+    keys = texts.select("tid", "key", "size")
+    member = stored(member.join(keys, "tid").select("sig", "key", "size").distinct(), "member")
+    # how much a text shares with all others: in a group of near copies the original comes first
+    owners = member.groupBy("sig").agg(F.count(F.lit(1)).alias("owners"))
+    weight = member.join(owners, "sig").groupBy("key").agg(F.sum("owners").alias("weight"))
+    member = stored(member.join(weight, "key").withColumn("at", F.row_number().over(
+        Window.partitionBy("sig").orderBy(F.desc("weight"), "key"))).select("sig", "key", "size", "at"), "member")
+    pairs = stored(spark.createDataFrame([], "a string, b string"), "pairs")
+    links = stored(spark.createDataFrame([], "a string, b string"), "verified")
+    group = spark.createDataFrame([], "key string, component string")
+    # In each round some members of a signature, the weightiest first, are compared with those that come after them
+    # and aren't in their component yet, until all signatures are settled.
+    first, after, (p, q) = 1, 2, LIMIT
     while True:
-        group = components(links)
-        held = member.join(group, "key", "left").select("sig", "key", F.coalesce("component", "key").alias("c"))
-        open_ = (held.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("n"))
-                 .filter("lo <> hi").filter(F.col("n") > near).select("sig", "n"))
-        placed = stored(held.join(open_, "sig").select("sig", "n", "key", "c", F.row_number().over(
-            Window.partitionBy("sig").orderBy("key")).alias("at")), "open")
+        placed = member.join(group, "key", "left").withColumn("c", F.coalesce("component", "key"))
+        open_ = (placed.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("n"))
+                 .filter("lo <> hi").filter(F.col("n") > first).select("sig"))
+        placed = stored(placed.join(open_, "sig").select("sig", "key", "size", "c", "at"), "open")
         if not placed.limit(1).count():
             return group
-        far = near * 4
-        ahead = (placed.filter(F.col("at") + near <= F.col("n"))
-                 .select("sig", F.col("key").alias("a"), F.col("c").alias("ca"),
-                         F.explode(F.sequence(F.col("at") + near, F.least(F.col("at") + far - 1, F.col("n")))).alias("at")))
-        found = (ahead.join(placed, ["sig", "at"]).filter("ca <> c")
-                 .select(F.col("key").alias("a"), F.col("a").alias("b")).distinct())
+        center = placed.filter(F.col("at").between(first, after - 1)).select(
+            "sig", F.col("key").alias("b"), F.col("size").alias("bsize"), F.col("c").alias("bc"), F.col("at").alias("bat"))
+        found = (placed.join(center, "sig").filter("at > bat AND c <> bc")
+                 .filter(F.least("size", "bsize") * q >= F.greatest("size", "bsize") * p).select(F.col("key").alias("a"), "b").distinct())
         found = stored(found.join(pairs, ["a", "b"], "left_anti").select("a", "b"), "pairs")
-        pairs, near = pairs.unionByName(found), far
-        links = stored(links.unionByName(links_among(found, texts)), "verified")
+        pairs, first, after = pairs.unionByName(found), after, after + max(1, (after - 1))
+        more = stored(links_among(found, texts), "verified")
+        if more.limit(1).count():
+            links = links.unionByName(more)
+            group = components(links)
 
 
 def prepared(docs: DataFrame) -> DataFrame:
