@@ -63,34 +63,6 @@ def _step(acc: Column, x: Column, opening: Column, life: Column) -> Column:
                     F.concat(acc["out"], F.array(row)).alias("out"))
 
 
-def fifo_age_fold(ledger: DataFrame, keys: Sequence[str], day_col: str, received_col: str,
-             demand_col: str, shelf_life_col: str, opening_col: str) -> DataFrame:
-    """Daily FIFO positions of every series of a dense ledger.
-
-    ``shelf_life_col`` and ``opening_col`` are constant per series (the first
-    day's values are used).
-    """
-    keys = list(keys)
-    day = F.struct(F.col(day_col).alias("day"),
-                   F.col(received_col).cast("bigint").alias("received"),
-                   F.col(demand_col).cast("bigint").alias("demand"))
-    series = ledger.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(day)).alias("days"),
-        F.min_by(F.col(shelf_life_col), F.col(day_col)).cast("bigint").alias("life"),
-        F.min_by(F.col(opening_col), F.col(day_col)).cast("bigint").alias("opening"),
-    )
-    out_type = ("array<struct<day:" + dict(ledger.dtypes)[day_col] + ",on_hand_qty:bigint,"
-                "oldest_batch_age_days:bigint,spoiled_qty:bigint,sold_qty:bigint,"
-                "unmet_demand:bigint>>")
-    init = F.struct(F.col("opening").alias("C"), F.lit(0).cast("bigint").alias("R"),
-                    F.array().cast("array<bigint>").alias("cums"),
-                    F.array().cast(out_type).alias("out"))
-    folded = F.aggregate("days", init,
-                         lambda acc, x: _step(acc, x, F.col("opening"), F.col("life")))
-    return (series.select(*keys, F.inline(folded["out"]))
-            .withColumnRenamed("day", day_col))
-
-
 # --------------------------------------------------------------------------- #
 # Vectorised form (mapInPandas)
 # --------------------------------------------------------------------------- #

@@ -245,8 +245,8 @@ def risk_suite(gold: DataFrame, target: str = "perishables_risk") -> DataFrame:
 
 
 def all_passed(results: DataFrame) -> bool:
-    """True when every check passed (reads one row per check)."""
-    return results.agg(F.bool_and("passed").alias("ok")).first()["ok"] is not False
+    """True when there is a check and every check passed (reads one row per check)."""
+    return results.agg(F.bool_and("passed").alias("ok")).first()["ok"] is True
 
 
 def promote_if_passing(df: DataFrame, results: DataFrame, path: str,

@@ -54,7 +54,7 @@ def get_session(master: str | None = None, app_name: str = "shelfrisk",
         builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("SHELFRISK_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("SHELFRISK_DRIVER_MEMORY", "8g"))
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -74,7 +74,9 @@ def _checkpoint_root(spark: SparkSession) -> str | None:
 def _ensure_checkpoint_dir(spark: SparkSession) -> str:
     root = _checkpoint_root(spark)
     if root is None:
-        # Local runs only: no shared folder was configured.
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        # Everything runs on this machine: no shared folder is needed.
         root = tempfile.mkdtemp(prefix="shelfrisk-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root

@@ -53,9 +53,10 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
     A static overwrite with ``partitionBy`` would delete every other
     partition of the table; dynamic mode replaces just the reloaded ones.
     Rows are clustered by partition and sorted within files so Parquet
-    min/max statistics can skip row groups.
+    min/max statistics can skip row groups. The rebalance hint lets adaptive
+    execution split a large partition value over several tasks.
     """
-    out = df.repartition(*[F.col(c) for c in partition_cols])
+    out = df.hint("rebalance", *[F.col(c) for c in partition_cols])
     if sort_cols:
         out = out.sortWithinPartitions(*sort_cols)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -27,13 +27,14 @@ from shelfrisk.sources.schemas import (
     TYPE_EVENT_FIELDS,
 )
 
-# ISO-8601 calendar date, optionally followed by a time part.
-ISO_TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2}([T ].*)?$"
+# ISO-8601 calendar date, optionally followed by a time of two-digit parts, a fraction, and Z or a numeric offset.
+ISO_TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d{1,6})?)?(Z|[+-]\d{2}:?\d{2}(:\d{2})?)?)?\z"
 PARSED = "_event"
 
 
 FIELDS = COMMON_EVENT_FIELDS + TYPE_EVENT_FIELDS["pos_sale"] + TYPE_EVENT_FIELDS["inventory_update"]
 NUMERIC_FIELDS = TYPE_EVENT_FIELDS["pos_sale"] + TYPE_EVENT_FIELDS["inventory_update"]
+INTEGER_FIELDS = tuple(f for f in NUMERIC_FIELDS if f != "unit_price")
 
 
 def _field(name: str) -> Column:
@@ -93,7 +94,8 @@ def parse(df: DataFrame, value_col: str = "value") -> DataFrame:
     for f in COMMON_EVENT_FIELDS:
         cols[f"_s_{f}"] = F.try_variant_get(F.col(PARSED), f"$.{f}", "string")
     for f in NUMERIC_FIELDS:
-        cols[f"_n_{f}"] = F.try_variant_get(F.col(PARSED), f"$.{f}", "double")
+        kind = "bigint" if f in INTEGER_FIELDS else "double"
+        cols[f"_n_{f}"] = F.try_variant_get(F.col(PARSED), f"$.{f}", kind)
     return parsed.withColumns(cols)
 
 
@@ -161,7 +163,7 @@ def enrich(valid: DataFrame, with_ingest_ts: bool = False) -> DataFrame:
     first ten characters), not the UTC date of the instant.
     """
     is_sale = _text("event_type") == "pos_sale"
-    units = F.when(is_sale, _number("units").cast("bigint"))
+    units = F.when(is_sale, _number("units"))
     price = F.when(is_sale, _number("unit_price"))
     cols = [
         _text("event_type").alias("event_type"),
@@ -171,8 +173,8 @@ def enrich(valid: DataFrame, with_ingest_ts: bool = False) -> DataFrame:
         _text("product_id").alias("product_id"),
         units.alias("units"),
         price.alias("unit_price"),
-        F.when(~is_sale, _number("on_hand_qty").cast("bigint")).alias("on_hand_qty"),
-        F.when(~is_sale, _number("received_qty").cast("bigint")).alias("received_qty"),
+        F.when(~is_sale, _number("on_hand_qty")).alias("on_hand_qty"),
+        F.when(~is_sale, _number("received_qty")).alias("received_qty"),
         F.substring(_text("event_ts"), 1, 10).alias("event_date"),
         F.when(is_sale, round_half_away(units * price, 2)).alias("revenue"),
     ]

@@ -89,8 +89,9 @@ def split_and_deliver(lake: Lake):
                 # A store's events stay in order: range partitions on (store, ts, id)
                 # hold contiguous runs, and a store with a large share of the batch
                 # is split across several tasks instead of landing on one.
-                .repartitionByRange("store_id", "event_ts", "event_id")
-                .sortWithinPartitions("store_id", "event_ts", "event_id")
+                # The partition columns lead, so a task writes few folders.
+                .repartitionByRange("event_type", "dt", "store_id", "event_ts", "event_id")
+                .sortWithinPartitions("event_type", "dt", "store_id", "event_ts", "event_id")
             )
             _overwrite(good, lake.good, ["event_type", "dt", "batch_id"])
             bad = tagged.where(F.col("reason").isNotNull()).select(
@@ -111,7 +112,7 @@ def split_and_deliver(lake: Lake):
 
 
 def start(spark: SparkSession, source_dir: str, lake: Lake, checkpoint_dir: str,
-          max_files_per_trigger: int = 1, available_now: bool = True,
+          max_bytes_per_trigger: int = 64 << 30, available_now: bool = True,
           processing_time: str = "60 seconds"):
     """Start the stream over text files in ``source_dir``.
 
@@ -119,7 +120,7 @@ def start(spark: SparkSession, source_dir: str, lake: Lake, checkpoint_dir: str,
     back-fill, tests); otherwise the query triggers every ``processing_time``.
     """
     records = (spark.readStream.format("text")
-               .option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir))
+               .option("maxBytesPerTrigger", max_bytes_per_trigger).load(source_dir))
     writer = (records.writeStream.foreachBatch(split_and_deliver(lake))
               .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now else \

@@ -3,28 +3,19 @@ from __future__ import annotations
 
 import random
 
-from shelfrisk.operators.fifo import OUT_FIELDS, fifo_age, fifo_age_fold
+from shelfrisk.operators.fifo import OUT_FIELDS, fifo_age
 
 
 def _brute(days, life, opening):
-    lots = [{"day": -1, "qty": opening}] if opening > 0 else []
-    out = []
-    for t, (received, demand) in enumerate(days):
-        spoiled = sum(b["qty"] for b in lots if t - b["day"] >= life)
-        lots = [b for b in lots if t - b["day"] < life]
-        if received > 0:
-            lots.append({"day": t, "qty": received})
-        on_hand = sum(b["qty"] for b in lots)
-        sold = min(demand, on_hand)
-        left = sold
-        for b in sorted(lots, key=lambda b: b["day"]):
-            take = min(b["qty"], left)
-            b["qty"] -= take
-            left -= take
-        lots = [b for b in lots if b["qty"] > 0]
-        on_hand = sum(b["qty"] for b in lots)
-        age = max((t - b["day"] for b in lots), default=0)
-        out.append((on_hand, age, spoiled, sold, demand - sold))
+    """Every unit is an entry of one queue: the day it came. Old units leave at the front, so do sold ones."""
+    queue, out = [-1] * opening, []
+    for today, (received, demand) in enumerate(days):
+        fresh = [day for day in queue if day > today - life]
+        spoiled = len(queue) - len(fresh)
+        queue = fresh + [today] * received
+        sold = len(queue[:demand])
+        queue = queue[sold:]
+        out.append((len(queue), today - queue[0] if queue else 0, spoiled, sold, demand - sold))
     return out
 
 
@@ -41,7 +32,7 @@ def test_fifo_matches_lot_simulation(spark):
     ledger = spark.createDataFrame(
         rows, "store_id string, product_id string, day int, received long, demand long, "
               "life long, opening long")
-    for fn in (fifo_age, fifo_age_fold):
+    for fn in (fifo_age,):
         got = {(r["store_id"], r["product_id"], r["day"]): tuple(r[c] for c in OUT_FIELDS)
                for r in fn(ledger, ["store_id", "product_id"], "day", "received", "demand",
                            "life", "opening").collect()}

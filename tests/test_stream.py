@@ -27,7 +27,7 @@ def test_stream_end_to_end(spark):
         with open(os.path.join(source.replace("file:", ""), f"part-{n}.json"), "w") as fh:
             fh.write("\n".join(lines[n::3]) + "\n")
     lake = job.Lake(scratch_path(spark, "test-lake"))
-    q = job.start(spark, source, lake, scratch_path(spark, "test-ckpt"))
+    q = job.start(spark, source, lake, scratch_path(spark, "test-ckpt"), max_bytes_per_trigger=1)
     q.awaitTermination(300)
     assert not q.isActive and q.exception() is None
 
