@@ -29,7 +29,7 @@ WINDOW, SURGE = 3, 80
 #: The part of a line's text in links from which on it is barren.
 LINKED = 0.8
 
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.DOTALL)
+MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|</?[A-Za-z][^>]*\Z", re.DOTALL)
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|itemprop)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
 
 # Elements by their part in a page.
