@@ -10,7 +10,8 @@ such sets must share), so no pair is lost.
 
 Signatures are grouped task by task first, and of a group of copies or near copies one row a task goes
 to the signature's own partition, the others to salted ones. A document must share a known number of
-signatures to have a partner; those that share fewer are dropped. Within a signature all members are
+signatures to have a partner; those that share fewer are dropped, and so are each document's commonest
+signatures, as many as leave at least one that it shares with every partner. Within a signature all members are
 compared with the one that shares most (a star); members that remain in different components are then
 compared with the next ones until every signature is settled. Bit maps exclude pairs whose sets must
 differ too much; the others are verified on the exact word sequences.
@@ -23,6 +24,7 @@ Defined results: a null, empty or word-less text has the empty set and no links;
 from __future__ import annotations
 
 import itertools
+import math
 import re
 
 import numpy as np
@@ -184,15 +186,18 @@ def differences(smaller: int) -> int:
 
 
 SUBSETS = np.array(list(itertools.combinations(range(N2), N2 - K2)))
+#: So many signatures of a set may change with one element.
+SPOILS = math.comb(N2 - 1, N2 - K2 - 1)
+#: The most that the upper bits of an owner hold as the signatures it must share.
+MOST = (1 << 15) - 1
 
 
 @np.errstate(over="ignore")
 def signatures(elements: np.ndarray, sizes: np.ndarray):
     """PartEnum signatures of some sets, given as by ``shingle_hashes``: (band, sets, need, count, signatures).
 
-    For each band: the sets that take part, how many signatures each must share with a similar set (so many of its
-    first-level partitions must have at most ``K2`` differences and no empty subset), how many it has, and all of
-    them in order. Sets for which that is no guarantee also have their prefix.
+    For each band: the sets that take part, how many signatures each must share with a similar set (all but those
+    that the differences may change), how many it has, and all of them in order. Sets for which that is no guarantee also have their prefix.
     """
     p, q = LIMIT
     weights, first = mix(elements ^ U(0x5851F42D4C957F2D)), np.cumsum(sizes) - sizes
@@ -220,9 +225,10 @@ def signatures(elements: np.ndarray, sizes: np.ndarray):
         total = sums.reshape(-1, n1, N2)[:, :, SUBSETS].sum(axis=3, dtype=U)
         full = seen.reshape(-1, n1, N2)[:, :, SUBSETS].any(axis=3)
         key = np.arange(n1 * len(SUBSETS), dtype=U).reshape(n1, -1) * U(0x9E3779B97F4A7C15) + U(band + 1)
-        need = n1 - np.array([differences(x) for x in range(low, high)])[np.minimum(n, high - 1) - low] // (K2 + 1) - (~full).any(axis=2).sum(axis=1)
+        count = full.sum(axis=(1, 2))
+        need = count - SPOILS * np.array([differences(x) for x in range(low, high)])[np.minimum(n, high - 1) - low]
         safe[sets[need < 1]] = False
-        yield band, sets, np.maximum(need, 1), full.sum(axis=(1, 2)), mix(total + key)[full]
+        yield band, sets, np.maximum(need, 1), count, mix(total + key)[full]
     sets = np.flatnonzero(~safe)
     if len(sets):
         n = sizes[sets] - -(-sizes[sets] * p // q) + 1
@@ -278,7 +284,7 @@ def _signed(batches):
         yield pa.RecordBatch.from_arrays([pa.array(tids), pa.array([int(name[:15], 16) for name, _ in names], pa.int64()),
                                           pa.array((-2 - sizes).astype(np.int32))], names=["sig", "owner", "salt"])
         for band, sets, need, count, got in signatures(elements, sizes):
-            owner = np.minimum(need, 255) << 48 | band << TID_BITS | tids[sets] & ((1 << TID_BITS) - 1)
+            owner = np.minimum(need, MOST) << 48 | band << TID_BITS | tids[sets] & ((1 << TID_BITS) - 1)
             sigs.append(got)
             owners.append(np.repeat(owner, count))
             held += len(got)
@@ -412,7 +418,11 @@ def signed_rows(docs: DataFrame) -> DataFrame:
 
 
 def candidates(shared: DataFrame) -> DataFrame:
-    """(sig, tid): signatures with all their owners, without owners that share too few to have a partner."""
+    """(sig, tid, weight): signatures with their owners, without owners that share too few to have a partner.
+
+    An owner that must share ``need`` signatures goes without its ``need - 1`` commonest ones: of those two similar sets
+    share, the rarest can't be among them on either side. Weight: how much the owner shared with all others before.
+    """
     shared = stored(shared.filter("size < 0").select("sig", "owner").distinct(), "shared")
     rows = shared.count()
     while True:
@@ -425,7 +435,14 @@ def candidates(shared: DataFrame) -> DataFrame:
         if left > 0.9 * rows:
             break
         rows = left
-    member = shared.select("sig", F.col("owner").bitwiseAND((1 << TID_BITS) - 1).alias("tid"))
+    counts = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
+    common = Window.partitionBy("owner").orderBy(F.desc("n"), F.desc("sig"))
+    kept = stored(shared.join(counts, "sig").withColumn("place", F.row_number().over(common))
+                  .withColumn("weight", F.sum("n").over(Window.partitionBy("owner")))
+                  .filter(F.col("place") >= F.shiftright("owner", 48))
+                  .select("sig", F.col("owner").bitwiseAND((1 << TID_BITS) - 1).alias("tid"), "weight"), "kept")
+    many = kept.groupBy("sig").agg(F.min("tid").alias("lo"), F.max("tid").alias("hi")).filter("lo <> hi").select("sig")
+    member = kept.join(many, "sig")
     # of signatures with the same owners one is enough
     alike = member.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("tid")).alias("x"), F.sum(F.hash("tid").cast("long")).alias("y"))
     return member.join(alike.groupBy("n", "x", "y").agg(F.min("sig").alias("sig")).select("sig"), "sig")
@@ -441,12 +458,10 @@ def similar_groups(spark: SparkSession, docs: DataFrame, shared: DataFrame) -> D
              .withColumnRenamed("_md5", "key").mapInArrow(_sketched, "key string, tid long, text string, sketch binary, size long"))
     texts = stored(texts, "texts")
     keys = texts.select("tid", "key", "size")
-    member = stored(member.join(keys, "tid").select("sig", "key", "size").distinct(), "member")
-    # how much a text shares with all others: in a group of near copies the original comes first
-    owners = member.groupBy("sig").agg(F.count(F.lit(1)).alias("owners"))
-    weight = member.join(owners, "sig").groupBy("key").agg(F.sum("owners").alias("weight"))
-    member = stored(member.join(weight, "key").withColumn("at", F.row_number().over(
-        Window.partitionBy("sig").orderBy(F.desc("weight"), "key"))).select("sig", "key", "size", "at"), "member")
+    # in a group of near copies the original shares most and comes first
+    member = (member.join(keys, "tid").groupBy("sig", "key", "size").agg(F.max("weight").alias("weight"))
+              .withColumn("at", F.row_number().over(Window.partitionBy("sig").orderBy(F.desc("weight"), "key"))))
+    member = stored(member.select("sig", "key", "size", "at"), "member")
     pairs = stored(spark.createDataFrame([], "a string, b string"), "pairs")
     links = stored(spark.createDataFrame([], "a string, b string"), "verified")
     group = spark.createDataFrame([], "key string, component string")
