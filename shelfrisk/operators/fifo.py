@@ -20,11 +20,7 @@ The recurrence mixes min and max, so no window function expresses it.
 position at a time with numpy, vectorised across every series in the batch
 (days iterations per batch, not one Python step per row). A series cut by a
 batch boundary is carried into the next batch, so memory stays one batch.
-``fifo_age_fold`` is the same computation with built-in higher-order
-functions (a per-series array folded with ``aggregate``); it needs no Python
-worker but copies its arrays every step (quadratic in days per series), so
-it suits short ledgers. The ledger must be dense per series
-(``velocity.densify``).
+The ledger must be dense per series (``velocity.densify``).
 """
 
 from __future__ import annotations
@@ -33,36 +29,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 OUT_FIELDS = ("on_hand_qty", "oldest_batch_age_days", "spoiled_qty", "sold_qty", "unmet_demand")
 
 
-def _step(acc: Column, x: Column, opening: Column, life: Column) -> Column:
-    t = F.size(acc["cums"]).cast("bigint")  # 0-based day index of x
-    c_new = acc["C"] + x["received"]
-    cums = F.concat(acc["cums"], F.array(c_new))
-    back = t - life
-    c_expired = (F.when(back >= 0, F.element_at(cums, (back + 1).cast("int")))
-                 .when(back == -1, opening).otherwise(F.lit(0).cast("bigint")))
-    floor = F.greatest(acc["R"], c_expired)
-    sold = F.least(x["demand"], c_new - floor)
-    r_new = floor + sold
-    on_hand = c_new - r_new
-    open_lots = F.filter(
-        F.transform(cums, lambda c, i: F.struct(c.alias("c"), i.alias("i"))),
-        lambda e: e["c"] > r_new)
-    oldest_day = F.when(opening > r_new, F.lit(-1)).otherwise(F.element_at(open_lots, 1)["i"])
-    age = F.when(on_hand > 0, t - oldest_day).otherwise(F.lit(0)).cast("bigint")
-    row = F.struct(
-        x["day"].alias("day"), on_hand.alias("on_hand_qty"), age.alias("oldest_batch_age_days"),
-        (floor - acc["R"]).alias("spoiled_qty"), sold.alias("sold_qty"),
-        (x["demand"] - sold).alias("unmet_demand"))
-    return F.struct(c_new.alias("C"), r_new.alias("R"), cums.alias("cums"),
-                    F.concat(acc["out"], F.array(row)).alias("out"))
-
-
 # --------------------------------------------------------------------------- #
 # Vectorised form (mapInPandas)
 # --------------------------------------------------------------------------- #

@@ -142,24 +142,6 @@ def relationship(child: DataFrame, target: str, col: str, parent: DataFrame,
     return _result(orphans.agg(F.sum("n").alias("v")), target, f"relationship({col})", F.col("v"))
 
 
-def density(df: DataFrame, target: str, keys: Sequence[str], date_col: str) -> DataFrame:
-    """Every series has a row for every day and no (series, day) repeats.
-
-    violations = missing (series, day) cells + duplicate rows.
-    """
-    keys = list(keys)
-    cells = df.groupBy(*keys, date_col).agg(F.count(F.lit(1)).alias("n"))
-    stats = cells.agg(
-        F.count(F.lit(1)).alias("cells"),
-        F.sum("n").alias("rows"),
-        F.count_distinct(F.struct(*keys)).alias("series"),
-        F.count_distinct(date_col).alias("days"),
-    )
-    missing = F.col("series") * F.col("days") - F.col("cells")
-    duplicates = F.col("rows") - F.col("cells")
-    return _result(stats, target, "dense", missing + duplicates)
-
-
 def density_detail(df: DataFrame, keys: Sequence[str], date_col: str) -> DataFrame:
     """rows, series, days, missing cells and duplicate rows, with the verdict."""
     keys = list(keys)

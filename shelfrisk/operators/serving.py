@@ -28,16 +28,9 @@ FLAG_METRIC = {
 }
 
 
-def latest_day(df: DataFrame, date_col: str = "snapshot_date") -> DataFrame:
-    """Rows of the newest date. The one-row max joins back on the date
-    (a bounded, one-row broadcast), so no value visits the driver."""
-    newest = df.agg(F.max(date_col).alias(date_col))
-    return df.join(F.broadcast(newest), date_col, "left_semi")
-
-
 def newest_day(gold: DataFrame, date_col: str = "snapshot_date"):
-    """The newest date as a Python value (one scalar; on a table partitioned by
-    the date this reads partition values only). Filtering with it as a literal
+    """The newest date as a Python value (one scalar; this reads the date
+    column of every partition). Filtering with it as a literal
     lets the scan prune to that day's folder."""
     return gold.agg(F.max(date_col)).first()[0]
 
@@ -51,18 +44,14 @@ def spoilage_cost_at_risk(flag: Column, score: Column, on_hand: Column, unit_cos
 
 
 def enriched_rows(gold: DataFrame, products: DataFrame, stores: DataFrame,
-                  snapshot_date: str | None = None, newest_only: bool = False,
-                  ordered: bool = True) -> DataFrame:
+                  snapshot_date: str | None = None, ordered: bool = True) -> DataFrame:
     """Gold rows with product / store attributes and money at stake.
 
-    ``snapshot_date`` keeps one day (all days when None); ``newest_only``
-    keeps the newest day. Left joins keep gold rows whose dims are missing.
+    ``snapshot_date`` keeps one day (all days when None). Left joins keep gold rows whose dims are missing.
     """
     g = gold
     if snapshot_date is not None:
         g = g.where(F.col("snapshot_date") == F.to_date(F.lit(str(snapshot_date))))
-    if newest_only:
-        g = latest_day(g)
     p = products.select("product_id", "product_name", "category", "unit_price", "unit_cost")
     s = stores.select("store_id", "store_name", "region")
     rows = g.join(p, "product_id", "left").join(s, "store_id", "left")
