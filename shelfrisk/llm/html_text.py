@@ -3,9 +3,11 @@
 Markup becomes lines: each block element's text is one, with character references decoded and white space
 folded. Lines inside menus, page headers and footers, sidebars, adverts, notices, forms and reader comments,
 and lines that are mostly links, count as barren (length 0). The distribution sums line lengths over windows of
-``WINDOW`` lines; the text begins at a surge (a window that rises over ``SURGE`` characters, or at all after
-barren lines) and ends at a dive to 0. The stretches between surges and dives are ranked by their text; the largest, or all
-inside the same <article> or <main> element, make the main text, whole, whatever their lines' lengths.
+``WINDOW`` lines. A stretch runs from where the sums leave 0 to the next dive (a whole window of barren lines), so
+fewer barren lines don't split it; it is text if a window in it reaches ``SURGE`` characters (a surge), headline and
+other short lines included. On a page without any surge all stretches are text. If the largest run of fertile lines
+is in an <article> or <main> element, that element's fertile lines make the main text, whatever their lengths; else all
+stretches do.
 
 Defined results: null, empty and markup-less html are read as text; a page with no fertile line gives an
 empty string and 0; repeated rows each get their row; nulls in page_id and url are passed on.
@@ -16,6 +18,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import Counter
+from itertools import groupby
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -143,34 +146,33 @@ def read_lines(page: str) -> list[Line]:
 
 
 def stretches(lengths: list[int]) -> list[tuple[int, int]]:
-    """[start, end) of the lines between each surge and the next dive of the window sums."""
+    """[start, end) of the lines between two dives of the window sums, if there is a surge between them or nowhere."""
     out, start, n = [], None, len(lengths)
     sums = [sum(lengths[i : i + WINDOW]) for i in range(n)]
     for i in range(n):
-        if start is None and lengths[i] and (sums[i] >= SURGE or i == 0 or not lengths[i - 1]):
+        if start is None and lengths[i]:
             start = i
-        elif start is not None and not lengths[i]:
+        elif start is not None and not sums[i]:
             out.append((start, i))
             start = None
     if start is not None:
         out.append((start, n))
-    return out
+    return [s for s in out if max(sums[s[0] : s[1]]) >= SURGE] or out
 
 
 def main_text(page: str | None) -> str:
     lines = read_lines(page or "")
-    found = stretches([x.fertile for x in lines])
-    if not found:
-        return ""
-    best = max(found, key=lambda s: (sum(x.fertile for x in lines[s[0] : s[1]]), -s[0]))
-    roots = {x.root for x in lines[best[0] : best[1]]} - {0}
-    if roots:  # barren lines inside an article split it; text beside it doesn't belong to it
+    found = [lines[s:e] for s, e in stretches([x.fertile for x in lines])]
+    runs = [list(run) for part in found for fertile, run in groupby(part, lambda x: x.fertile > 0) if fertile]
+    best = max(runs, key=lambda run: sum(x.fertile for x in run), default=[])
+    roots = {x.root for x in best} - {0}
+    if roots:  # text beside an article doesn't belong to it
         sizes = {r: sum(x.fertile for x in lines if x.root == r) for r in roots}
         keep = max(sizes, key=lambda r: (sizes[r], -r))
-        chosen = [x for s, e in found for x in lines[s:e] if x.root == keep]
+        chosen = [x for x in lines if x.root == keep]
     else:
-        chosen = lines[best[0] : best[1]]
-    return "\n\n".join(x.text for x in chosen)
+        chosen = [x for part in found for x in part]
+    return "\n\n".join(x.text for x in chosen if x.fertile)
 
 
 def _extracted(batches):

@@ -173,6 +173,20 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = " ".join(["w"] * 60)
+
+
+@pytest.mark.parametrize("gap", ["<div class=ad>buy</div>", "<aside>see also</aside><div class=notice>n</div>", "<nav>1</nav><nav>2</nav><nav>3</nav><nav>4</nav>"])
+def test_barren_lines_in_mid_text_cut_nothing_off(gap):
+    assert html_text.main_text(f"<h1>T</h1><p>{LONG}</p>{gap}<p>{LONG} x</p><p>ok</p><footer>f</footer>") == f"T\n\n{LONG}\n\n{LONG} x\n\nok"
+    assert html_text.main_text(f"<h1>T</h1><p>a</p>{gap}<p>b</p>") == "T\n\na\n\nb"  # no surge on the page
+
+
+def test_windows_decide_where_text_begins_and_ends():
+    assert html_text.stretches([9, 0, 0, 0, 5, 80, 0, 0, 4, 0, 0, 0, 30, 30, 30]) == [(4, 9), (12, 15)]
+    assert html_text.stretches([9, 0, 0, 0, 5]) == [(0, 1), (4, 5)] and html_text.stretches([0, 0]) == []
+
+
 def test_pages_give_their_articles(spark):
     got = {r.page_id: r for r in html_text.op7_html_text(spark, SMOKE).collect()}
     for r in table(spark, SMOKE, "pages").collect():
