@@ -2,8 +2,8 @@
 
 Markup becomes lines: each block element's text is one, with character references decoded and white space
 folded. Lines inside menus, page headers and footers, sidebars, adverts, notices, forms and reader comments,
-and lines that are mostly links, count as barren (length 0). The distribution sums line lengths over windows of
-``WINDOW`` lines. A stretch runs from where the sums leave 0 to the next dive (a whole window of barren lines), so
+and lines outside <article> and <main> that are mostly links, count as barren (length 0). The distribution sums
+line lengths over windows of ``WINDOW`` lines. A stretch runs from where the sums leave 0 to the next dive (a whole window of barren lines), so
 fewer barren lines don't split it; it is text if a window in it reaches ``SURGE`` characters (a surge), headline and
 other short lines included. On a page without any surge all stretches are text. If the largest run of fertile lines
 is in an <article> or <main> element, that element's fertile lines make the main text, whatever their lengths; else all
@@ -33,11 +33,13 @@ WINDOW, SURGE = 3, 80
 LINKED = 0.8
 
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|</?[A-Za-z][^>]*\Z", re.DOTALL)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|itemprop)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
+#: An attribute's name and its value: in quotes, or up to white space.
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 
 # Elements by their part in a page.
 RAW = frozenset("script style noscript template svg math iframe object canvas textarea select option title".split())
 BARREN = frozenset("nav header footer aside form button dialog menu head".split())
+HEAD = frozenset("base link meta noscript script style template title".split())  # any other element ends an open head
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
     figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody
@@ -49,8 +51,13 @@ NOISE = frozenset("""ad ads advert advertisement adverts banner sponsor sponsore
     navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent notice notices notification gdpr popup modal
     overlay comment comments disqus respond replies reply share sharing social related recommended newsletter subscribe signup
     login search pagination pager widget toolbar""".split())
+#: Values of hidden with which the text is meant to be read.
+SHOWN = frozenset(["false", "until-found"])
 KEEP = frozenset(["article", "main", "body", "html"])
 MAIN = frozenset(["article", "main"])
+#: Where the raw text of an element ends: at its end tag; an option's also at what closes it when that is left out.
+RAW_END = {tag: re.compile(rf"</{tag}", re.IGNORECASE) for tag in RAW}
+RAW_END["option"] = re.compile(rf"</?(?:option|optgroup|select|datalist|{'|'.join(sorted(BLOCKS))})(?![A-Za-z0-9:-])", re.IGNORECASE)
 
 
 class Line(NamedTuple):
@@ -66,7 +73,7 @@ def is_noise(tag: str, attributes: str, inside: bool) -> bool:
         return False
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
+        if name == "hidden" and value not in SHOWN or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
             return True
         if name in ("class", "id") and NOISE.intersection(re.split(r"[^a-z0-9]+", value)):
             return True
@@ -87,14 +94,23 @@ def read_lines(page: str) -> list[Line]:
             text = " ".join(entities.unescape("".join(words)).split())
             words.clear()
             if text:
-                barren = noise or linked >= LINKED * len(text)
+                barren = noise or not root_depth and linked >= LINKED * len(text)
                 lines.append(Line(text, 0 if barren else len(text), root if root_depth else 0))
         linked = 0
 
+    def close_head() -> None:
+        nonlocal noise
+        if stack and stack[-1][0] == "head":
+            flush()
+            opened["head"] -= 1
+            noise -= stack.pop()[1]
+
     while at < end:
         m = MARKUP.search(page, at)
         start = m.start() if m else end
         if start > at:
+            if opened["head"] and not page[at:start].isspace():
+                close_head()
             words.append(page[at:start])
             if links:
                 linked += start - at
@@ -116,9 +132,11 @@ def read_lines(page: str) -> list[Line]:
                 if name == tag:
                     break
             continue
+        if tag not in HEAD:
+            close_head()
         if tag in RAW:
             if not m[0].endswith("/>"):
-                close = re.compile(f"</{tag}", re.IGNORECASE).search(page, at)
+                close = RAW_END[tag].search(page, at)
                 at = close.start() if close else end
             continue
         if tag == "br":

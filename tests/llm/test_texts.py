@@ -187,6 +187,21 @@ def test_windows_decide_where_text_begins_and_ends():
     assert html_text.stretches([9, 0, 0, 0, 5]) == [(0, 1), (4, 5)] and html_text.stretches([0, 0]) == []
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<div style='overflow:hidden'><article><p>one</p><div style=\"overflow: hidden\">two</div></article></div>", "one\n\ntwo"),
+    ("<article hidden=false data-id='comments' title=\"a class='ad' role=menu\"><p data-id='comments'>one</p><p hidden=\"false\">two</p></article>", "one\n\ntwo"),
+    ("<article><p>one</p><p hidden>no</p><p class = ad>no</p><p data-x=1 ID='comments'>no</p><p aria-hidden=\"true\">no</p><p hidden=''>no</p></article>", "one"),
+    ("<html><head><meta charset=x><title>t</title><body><h1>T</h1><p>one</p>", "T\n\none"), ("<head><title>t</title><p>one<p>two", "one\n\ntwo"),
+    ("<head><title>t</title>\n one<p>two", "one\n\ntwo"), ("<head><title>t</title></head><p>one", "one"), ("<head><script>x</script><header>no</header><p>one", "one"),
+    ("<article><h1><a href=x>Title</a></h1><p>one</p><ol><li><a href=a>Reference</a><li><a href=b>Another</a></ol></article>", "Title\n\none\n\nReference\n\nAnother"),
+    ("<main><p><a href=x>linked</a></main><p><a href=y>beside</a>", "linked"), ("<p>one<p><a href=y>menu</a>", "one"),
+    ("<datalist id=d><option value=1>a<option value=2>b</datalist><p>one</p>", "one"), ("<option>a<optgroup label=x></optgroup><p>one</p>", "one"), ("<option>a<p>one</p>", "one"),
+    ("<select><option>a<option>b</select><p>one</p>", "one"),
+])
+def test_only_barren_parts_are_barren(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_pages_give_their_articles(spark):
     got = {r.page_id: r for r in html_text.op7_html_text(spark, SMOKE).collect()}
     for r in table(spark, SMOKE, "pages").collect():
