@@ -2,11 +2,12 @@
 
 Texts are tokens: runs of letters and digits, lower-cased. A mask keeps some positions of a window and ignores the
 others, so its hash survives substitutions there; the hashes of all windows of all documents meet those of the
-benchmark items. Around each hit the document is laid over the item without gaps, and the best stretch counts 1
-for each equal token and -1 for each other one; a stretch of at least ``SCORE`` is an overlap.
+benchmark items. Hits of one text and item with the same distance are one diagonal: along it the text is laid over
+the whole item without gaps, and the best stretch counts 1 for each equal token and -1 for each other one; a stretch
+of at least ``SCORE`` is an overlap.
 
 The benchmark's hashes are broadcast in chunks of a counted bound, so windows of documents are never shuffled:
-a larger benchmark takes more passes, not more memory.
+a larger benchmark takes more passes, not more memory. Only texts with a hit are tokenized again to be scored.
 
 Defined results: null and empty texts have no tokens; items with fewer tokens than the shortest mask can't be
 found, and overlaps need ``SCORE`` tokens anyway; equal items are all reported; a null doc_id is passed on; repeated rows
@@ -20,13 +21,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import small, stored, table
 
 #: Masks over a window of tokens: 1 is kept, 0 ignored.
 MASKS = ("11101101111", "11011110111", "11110011111")
 SPAN = len(MASKS[0])
-#: Least score of an overlap, and tokens looked at before and behind a hit.
-SCORE, AROUND = 10, 40
+#: Least score of an overlap.
+SCORE = 10
 #: Hashes of the benchmark in one broadcast (a long and a number each).
 CHUNK = 1_000_000
 
@@ -60,31 +61,49 @@ def score(doc: Column, item: Column) -> Column:
     return F.aggregate(steps, zero, add, lambda s: s["best"])
 
 
-def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document and item that overlap: doc_id, item_id, score, doc_at, item_at (of the first such hit)."""
-    tests = stored(benchmark.select(F.col("item_id").cast("long").alias("item_id"), token_hashes(F.col("text").cast("string")).alias("_tokens")).distinct(), "items")
-    hashed = windows(tests).select("_hash", "item_id", F.col("_at").alias("item_at"), F.col("_tokens").alias("item"))
+def diagonals(spark: SparkSession, texts: DataFrame, items: DataFrame) -> DataFrame:
+    """(_md5, item_id, _item, _lead, _first): a text's distances to an item at which a seed hits, and the first hit's place.
+
+    ``texts``: (_md5, _tokens), ``items``: (item_id, _item, _tokens).
+    """
+    hashed = windows(items).select("_hash", "item_id", "_item", F.col("_at").alias("item_at"))
     keys = stored(hashed.select("_hash").distinct(), "seeds")
     chunks = max(1, -(-keys.count() // CHUNK))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), token_hashes(F.col("text").cast("string")).alias("_tokens"))
-    at, size = F.col("_at"), F.size("_tokens")
-    start = F.greatest(at - AROUND, F.lit(0))
-    near = F.slice("_tokens", start + 1, F.least(size, at + SPAN + AROUND) - start)
 
     def hits(chunk: int) -> DataFrame:
         some = keys.filter(F.pmod(F.col("_hash"), F.lit(chunks)) == chunk) if chunks > 1 else keys
-        return windows(rows).join(F.broadcast(some), "_hash").select("doc_id", "_hash", at.alias("doc_at"), (at - start).alias("lead"), near.alias("near"))
+        return windows(texts).join(F.broadcast(some), "_hash").select("_md5", "_hash", F.col("_at").alias("doc_at"))
 
     found = stored(reduce(DataFrame.unionAll, map(hits, range(chunks))), "hits")
-    joined = found.join(hashed, "_hash")
-    back = F.least("lead", "item_at")
-    length = F.least(F.size("near") - F.col("lead") + back, F.size("item") - F.col("item_at") + back)
-    scored = joined.withColumn("score", score(F.slice("near", F.col("lead") - back + 1, length), F.slice("item", F.col("item_at") - back + 1, length)))
-    return (scored.filter(F.col("score") >= SCORE).groupBy("doc_id", "item_id")
+    placed = found.join(hashed, "_hash").withColumn("_lead", F.col("doc_at") - F.col("item_at"))
+    return stored(placed.groupBy("_md5", "item_id", "_item", "_lead").agg(F.min("doc_at").alias("_first")), "diagonals")
+
+
+def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per document and item that overlap: doc_id, item_id, score, doc_at, item_at (of the first such hit)."""
+    return (text_overlaps(spark, docs, benchmark).groupBy("doc_id", "item_id")
             .agg(F.max("score").cast("long").alias("score"), F.min(F.struct("doc_at", "item_at")).alias("_first"))
             .select("doc_id", "item_id", "score", F.col("_first.doc_at").cast("long").alias("doc_at"), F.col("_first.item_at").cast("long").alias("item_at")))
 
 
+def text_overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The overlaps of each row's text: doc_id, _md5, item_id, score, doc_at, item_at."""
+    tests = benchmark.select(F.col("item_id").cast("long").alias("item_id"), token_hashes(F.col("text").cast("string")).alias("_tokens"))
+    tests = stored(tests.withColumn("_item", F.md5(F.concat_ws(" ", F.col("_tokens").cast("array<string>")))).distinct(), "items")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text).alias("_md5"), text.alias("_text"))
+    tokens = token_hashes(F.col("_text")).alias("_tokens")
+    found = diagonals(spark, rows.select("_md5", tokens), tests)
+    hit = stored(found.select("_md5").distinct(), "hit")
+    own = rows.join(small(hit), "_md5", "left_semi").select("doc_id", "_md5", tokens)
+    item = tests.select("_item", F.col("_tokens").alias("_other")).dropDuplicates(["_item"])
+    start, other = F.greatest("_lead", F.lit(0)), F.greatest(-F.col("_lead"), F.lit(0))
+    length = F.least(F.size("_tokens") - start, F.size("_other") - other)
+    best = score(F.slice("_tokens", start + 1, length), F.slice("_other", other + 1, length))
+    return (own.join(small(found), "_md5").join(item, "_item").withColumn("score", best).filter(F.col("score") >= SCORE)
+            .select("doc_id", "_md5", "item_id", "score", F.col("_first").alias("doc_at"), (F.col("_first") - F.col("_lead")).alias("item_at")))
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that overlap no item, with their own columns; rows without doc_id stay."""
     leaks = stored(overlaps(spark, docs, benchmark).filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_leak")).distinct(), "leaks")

@@ -116,6 +116,18 @@ def test_spaced_seeds_find_substituted_passages(spark):
     assert spaced_seeds.overlaps(spark, df, bench.limit(0)).count() == 0
 
 
+def test_spaced_seeds_score_the_whole_stretch(spark):
+    item = [f"i{x}" for x in range(500)]
+    swapped = [w if i % 20 else "zz" for i, w in enumerate(item)]
+    rows = [(1, "a b " + " ".join(item)), (2, " ".join(item[100:191])), (3, " ".join(swapped)), (4, " ".join(item[:250] + ["x"] * 300 + item[250:])), (5, " ".join(item[490:]))]
+    df = spark.createDataFrame([(*r, "c", 1.0) for r in rows], DOCS)
+    bench = spark.createDataFrame([(10, " ".join(item)), (11, " ".join(item[:20])), (11, " ".join(item[30:60]))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.score, r.doc_at, r.item_at) for r in spaced_seeds.overlaps(spark, df, bench).collect()}
+    assert got[1, 10] == (500, 2, 0) and got[2, 10] == (91, 0, 100) and got[4, 10] == (250, 0, 0)
+    assert got[3, 10][0] == 475 - 24  # from the second token on, each 20th differs
+    assert got[1, 11][0] == 30 and (5, 10) not in got
+
+
 def test_spaced_seeds_find_every_exact_passage(spark):
     sf = "/root/testdata/sf0.01"
     items = {r.item_id: words_of(r.text) for r in table(spark, sf, "benchmark").collect()}
