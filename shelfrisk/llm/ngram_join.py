@@ -432,7 +432,7 @@ def candidates(shared: DataFrame) -> DataFrame:
         many = shared.groupBy("sig").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).filter("lo <> hi").select("sig")
         shared = stored(shared.join(many, "sig").select("sig", "owner"), "shared")
         left = shared.count()
-        if left > 0.9 * rows:
+        if left >= 0.9 * rows:  # also when none is left
             break
         rows = left
     counts = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
@@ -493,8 +493,8 @@ def prepared(docs: DataFrame) -> DataFrame:
                        F.xxhash64(text).alias("_tid"), F.md5(text).alias("_md5"))
 
 
-def ngram_jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
+def grouped_rows(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each row's (_doc, _md5, _n), _n its number of shingles, and (_md5, component) of the texts with links or copies."""
     rows = prepared(docs)
     shared = signed_rows(rows)
     group = similar_groups(spark, rows, shared)
@@ -506,7 +506,12 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
     classes = (sized.filter("_n > 0").groupBy("_md5").agg(F.min("_doc").alias("least"), F.count(F.lit(1)).alias("copies"))
                .join(group, "_md5", "left").filter("copies > 1 OR component IS NOT NULL")
                .withColumn("component", F.coalesce("component", "_md5")))
-    classes = stored(classes, "classes")
+    return sized, stored(classes, "classes")
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
+    sized, classes = grouped_rows(spark, docs)
     least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     named = stored(classes.join(least, "component").select("_md5", "component_id"), "named")
     return (sized.join(small(named), "_md5", "left")
@@ -515,18 +520,27 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents without their near duplicates: of each group the one with the smallest doc_id stays.
+    """The documents without their near duplicates: of each group the row with the smallest doc_id stays (and of
+    its texts there the one with the smallest MD5).
 
-    Rows without doc_id or without words stay; of repeated rows with one doc_id in a group one stays.
+    Decided by row, as a doc_id may stand on several: of repeated rows of a group one stays, other texts with the
+    same doc_id are judged by their own groups. Rows without doc_id or without words stay.
     """
-    found = stored(ngram_jaccard_join(spark, docs), "components")
-    gone = stored(found.filter("n_shingles > 0 AND doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    again = stored(found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_gone")), "again")
-    left = docs.join(small(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    classes = grouped_rows(spark, docs)[1]
+    first = classes.filter("least IS NOT NULL").groupBy("component").agg(F.min(F.struct("least", "_md5")).alias("first"))
+    judged = stored(classes.join(first, "component")
+                    .select(F.col("_md5").alias("_text_md5"), F.when(F.col("_md5") == F.col("first._md5"), F.col("first.least")).alias("_stays"), "copies"), "judged")
+    names, text_md5, own = docs.columns, F.md5(F.col("text").cast("string")), F.col("doc_id").cast("long")
+    keyed = docs.withColumns({"_md5_of_row": text_md5, "_id_of_row": own})
+    same = F.col("_md5_of_row") == F.col("_text_md5")
+    gone = same & F.col("_id_of_row").isNotNull() & ~F.col("_id_of_row").eqNullSafe(F.col("_stays"))
+    left = keyed.join(small(judged), gone, "left_anti")
+    again = stored(judged.filter("_stays IS NOT NULL AND copies > 1").select("_text_md5", "_stays"), "again")
     if not again.limit(1).count():
-        return left
-    twice = left.join(small(again), F.col("doc_id") == F.col("_gone"), "left_semi").dropDuplicates(["doc_id"])
-    return left.join(small(again), F.col("doc_id") == F.col("_gone"), "left_anti").unionByName(twice)
+        return left.select(*names)
+    repeated = same & (F.col("_id_of_row") == F.col("_stays"))
+    twice = left.join(small(again), repeated, "left_semi").dropDuplicates(["_md5_of_row"])
+    return left.join(small(again), repeated, "left_anti").unionByName(twice).select(*names)
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

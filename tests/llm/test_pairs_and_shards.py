@@ -91,6 +91,18 @@ def test_one_of_each_keeps_columns_and_one_row(spark):
     assert sorted((r[0] or -1) for r in kept.collect()) == [-1, 1, 3, 4, 5]
 
 
+def test_filters_judge_rows_and_not_doc_ids(spark):
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g"), (2, "wholly other words stand in this one"), (3, "q r s t u v w"), (3, "one more text with words of its own"),
+            (3, "q r s t u v w"), (4, ""), (4, ""), (5, "k l m n o p x"), (5, "K l m n o p x")]
+    df = spark.createDataFrame([(*r, "c", 1.0) for r in rows], DOCS)
+    kept = sorted((r[0], r[1].lower()) for r in ngram_join.one_of_each(spark, df).collect())
+    assert kept == sorted([(1, rows[0][1]), rows[2], rows[3], rows[4], (4, ""), (4, ""), rows[8]])
+    bench = spark.createDataFrame([(1, " ".join(f"i{x}" for x in range(20)))], "item_id long, text string")
+    rows = [(1, "x " + " ".join(f"i{x}" for x in range(20))), (1, "clean"), (2, None), (2, "clean")]
+    df = spark.createDataFrame([(*r, "c", 1.0) for r in rows], DOCS)
+    assert sorted((r[0], r[1] or "") for r in spaced_seeds.decontaminated(spark, df, bench).collect()) == [(1, "clean"), (2, ""), (2, "clean")]
+
+
 def words_of(text):
     return re.findall(r"[^\W_]+", (text or "").lower())
 
