@@ -1,10 +1,11 @@
 """Toxicity by a weighted finite-state pattern grammar (operator 2).
 
-A text becomes clauses of word classes: insults, threats, targets, negations, reporting verbs. Five small
-transducers read the classes, each tracking one thing (is the clause negated, reported, aimed at somebody,
-is an insult or a threat pending); they are composed into one product machine, whose final states say what
-was matched in the clause: a plain, targeted, negated or reported insult, a threat, or an untargeted one.
-A document's score is a logistic function of the weights of its matched clauses.
+A text becomes clauses of word classes: insults, threats, targets, negations, reporting verbs. Three small
+transducers read the classes, each tracking one thing (is the clause negated, reported, aimed at somebody);
+they are composed into one product machine. Insults and threats are not in it: they are read beside it, and
+its state at them, with the one at the clause's end, says what was matched: a plain, targeted, negated or
+reported insult, a threat, or an untargeted one. A document's score is a logistic function of the weights of
+its matched clauses, and of the number of matched words, of distinct ones, and their weight in a hundred words.
 
 What counts as an insult is learned from labelled rows: beginnings of words and whole words that occur
 nearly only in rows labelled toxic get the logit of a lower confidence bound as weight, besides a short
