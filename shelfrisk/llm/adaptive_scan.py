@@ -10,14 +10,16 @@ come among the query's ``k`` best, and only the survivors' inner products are co
 Lists are scanned in blocks of about ``BLOCK`` vectors by groups of about ``QUERIES`` queries, so neither a
 crowded list nor many queries gather in one task.
 
+Each dimension is searched among its own vectors, one after the other.
+
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do
-those of another than the most common dimension, nor rows without vec_id; of rows with one vec_id the least
-vector counts; ties go to the smaller vec_id; with at most ``k`` candidates all are returned.
+rows without vec_id; of rows with one vec_id the least vector counts; ties go to the smaller vec_id; with at most ``k`` candidates all are returned.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -117,13 +119,16 @@ def valid_vectors(vectors: DataFrame) -> DataFrame:
 
 def nearest(spark: SparkSession, vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     """For each row whose vec_id is divisible by ``every`` its k nearest others: query_id, rank, vec_id, score."""
-    schema = "query_id long, rank int, vec_id long, score double"
     valid = stored(valid_vectors(vectors), "vectors")
     sizes = valid.groupBy(F.size("_v").alias("d")).agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.aggregate("_v", F.lit(0.0), lambda a, c: a + c * c)).alias("m")).orderBy(F.desc("n"), F.desc("d")).first()
-    if sizes is None:
-        return spark.createDataFrame([], schema)
-    dimension, n, longest = sizes["d"], sizes["n"], math.sqrt(sizes["m"])
+        F.count(F.lit(1)).alias("n"), F.max(F.aggregate("_v", F.lit(0.0), lambda a, c: a + c * c)).alias("m")).orderBy(F.desc("n"), F.desc("d")).collect()
+    if not sizes:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionAll, [nearest_of_one_dimension(spark, valid, r["d"], r["n"], math.sqrt(r["m"]), k, every) for r in sizes])
+
+
+def nearest_of_one_dimension(spark: SparkSession, valid: DataFrame, dimension: int, n: int, longest: float, k: int, every: int) -> DataFrame:
+    """``nearest`` among the ``n`` vectors of a dimension, the longest of which has the length ``longest``."""
     valid = valid.filter(F.size("_v") == dimension)
     share = min(1.0, SAMPLE / n)
     sampled = valid.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < int((1 << 20) * share)).orderBy("_id").select("_v").collect()

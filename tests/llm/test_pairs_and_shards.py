@@ -230,3 +230,9 @@ def test_nearest_with_few_or_no_vectors(spark):
     got = [tuple(r) for r in adaptive_scan.nearest(spark, df).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 1, 0.5), (0, 2, 20, 0.5), (20, 1, 1, 1.25), (20, 2, 0, 0.5)]
     assert adaptive_scan.nearest(spark, df.limit(0)).collect() == []
+
+
+def test_nearest_searches_every_dimension(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 1.0]), (20, [0.5, 1.0]), (40, [1.0, 0.0, 2.0]), (41, [3.0, 0.0, 0.0])], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in adaptive_scan.nearest(spark, df).collect())
+    assert got == [(0, 1, 1, 0.5), (0, 2, 20, 0.5), (20, 1, 1, 1.25), (20, 2, 0, 0.5), (40, 1, 41, 3.0)]
