@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .adaptive_scan import op3_adaptive_scan
+from .anchor_tree import OP13_SQL, op13_anchor_tree
 from .byte_bpe import op9_byte_bpe
 from .cross_polytope import OP11_SQL, op11_cross_polytope
 from .html_text import op7_html_text
@@ -16,7 +17,8 @@ from .toxicity import op2_toxicity
 from .url_rules import OP4_SQL, op4_url_rules
 
 QUERIES = {f.__name__: f for f in (op1_preference_chat, op2_toxicity, op3_adaptive_scan, op4_url_rules, op5_ngram_jaccard, op6_pii,
-                                   op7_html_text, op8_spaced_seeds, op9_byte_bpe, op10_label_shards, op11_cross_polytope, op12_prefix_trie)}
+                                   op7_html_text, op8_spaced_seeds, op9_byte_bpe, op10_label_shards, op11_cross_polytope, op12_prefix_trie,
+                                   op13_anchor_tree)}
 
 ORACLE = {"op1_preference_chat": OP1_SQL, "op4_url_rules": OP4_SQL, "op5_ngram_jaccard": OP5_SQL,
-          "op11_cross_polytope": OP11_SQL, "op12_prefix_trie": OP12_SQL}
+          "op11_cross_polytope": OP11_SQL, "op12_prefix_trie": OP12_SQL, "op13_anchor_tree": OP13_SQL}
