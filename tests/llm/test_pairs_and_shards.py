@@ -174,7 +174,7 @@ def check_shards(got, k):
 @pytest.mark.parametrize("hot", [0, 70, 400])
 def test_shards_are_even_and_keep_copies_together(spark, hot):
     rows = [(i, f"copy {i // 3}") for i in range(60)] + [(100 + i, "hot") for i in range(hot)] + [(900 + i, f"own {i}") for i in range(100)]
-    rows += [(None, "own 1"), (7, None), (7, None), (8, "")]
+    rows += [(None, "own 1"), (7, None), (7, None), (5000, "")]
     got = label_shards.shards(spark, spark.createDataFrame([(*r, "c", 1.0) for r in rows], DOCS), 6).collect()
     assert len(got) == len(rows) and {r.law for r in got} == {"rows"} and {r.grown_shard for r in got} == {None}
     check_shards(got, 6)
@@ -184,7 +184,7 @@ def test_shards_are_even_and_keep_copies_together(spark, hot):
             homes[r.text_crc32].add(r.shard)
     split = sum(len(v) > 1 for v in homes.values())
     assert split <= (0 if hot < 40 else 3)
-    assert {(r.size, r.text_crc32) for r in got if r.doc_id == 8} == {(8, 0)}
+    assert {(r.size, r.text_crc32) for r in got if r.doc_id == 5000} == {(8, 0)}
 
 
 def test_shards_of_copies_only_few_rows_and_none(spark):
@@ -222,7 +222,8 @@ def test_nearest_recall_ties_and_invalid_vectors(spark):
     assert hits >= 0.9 * sum(map(len, expected.values()))
     for found in got.values():
         assert found == sorted(found, key=lambda x: (-x[1], x[0])) and len(found) == 20
-    assert [j for j, _ in got[100]][:5] == [101, 102, 103, 104, 105]
+    copies = [j for j, _ in got[100] if 100 <= j < 140]  # equal vectors come in the order of their ids
+    assert copies and copies == [j for j, _ in expected[100] if 100 <= j < 140]
 
 
 def test_nearest_with_few_or_no_vectors(spark):

@@ -4,6 +4,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import duckdb
 import pytest
@@ -84,7 +85,9 @@ def test_base_spans_equal_the_plain_patterns():
 
 def test_long_runs_take_no_time():
     for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+1" * 100_000, "+1" + "(" * 200_000, "a@" * 100_000, "1 " * 100_000):
-        assert pii.base_spans(text) == pii.base_spans(text)
+        start = time.monotonic()
+        pii.base_spans(text)
+        assert time.monotonic() - start < 5, text[:5]
 
 
 def test_labelers_add_spans_and_masks(spark):
