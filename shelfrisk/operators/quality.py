@@ -8,19 +8,22 @@ relationships, density) aggregate keys map-side before their shuffle, so a
 key holding a third of the rows arrives as one partial count per task.
 
 ``violating_*`` functions return the offending rows themselves (the shape of
-a singular warehouse test); ``promote_if_passing`` writes a table only when
-every check of its suite passed.
+a singular warehouse test). A suite guards a table where it is published
+(``plans.mart``).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfrisk.functions import scores
 from shelfrisk.functions.numeric import count_where, round_half_away
-from shelfrisk.sources.schemas import RISK_FLAGS, SPOILAGE_FLAG_THRESHOLD
+from shelfrisk.sources.schemas import GRAIN, RISK_FLAGS, SPOILAGE_FLAG_THRESHOLD
 
 RESULT_COLUMNS = ("target", "check", "violations", "passed")
 
@@ -56,15 +59,8 @@ def below(col: str, minimum: float) -> Column:
 
 
 def flag_disagrees(threshold: float = SPOILAGE_FLAG_THRESHOLD) -> Column:
-    """The flag contradicts the scores it was derived from."""
-    stockout_state = (F.col("on_hand_qty") == 0) & (F.col("trailing_7d_sell_through") > 0)
-    spoil = F.col("spoilage_risk_score")
-    flag = F.col("risk_flag")
-    return (
-        ((flag == "STOCKOUT") & ~stockout_state)
-        | ((flag == "SPOILAGE") & (spoil < threshold))
-        | ((flag == "OK") & (stockout_state | (spoil >= threshold)))
-    )
+    """The flag is not the one that the row's own scores give."""
+    return F.col("risk_flag") != scores.risk_flag("on_hand_qty", "trailing_7d_sell_through", "spoilage_risk_score", threshold)
 
 
 def revenue_mismatch(tolerance: float = 0.01) -> Column:
@@ -128,35 +124,90 @@ def violating_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
 
 
-def relationship(child: DataFrame, target: str, col: str, parent: DataFrame,
-                 parent_col: str | None = None) -> DataFrame:
-    """Child rows whose non-null key has no parent row.
+@dataclass(frozen=True)
+class ForeignKey:
+    """Rows of ``target`` whose non-null ``key`` (an expression over the child's key columns) has no row in ``parent``."""
 
-    Child keys are counted per key first (map-side), so the anti join ships
-    one row per distinct key instead of every child row.
-    """
-    parent_col = parent_col or col
-    keys = (child.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")))
-    parents = parent.select(F.col(parent_col).alias(col)).distinct()
-    orphans = keys.join(parents, col, "left_anti")
-    return _result(orphans.agg(F.sum("n").alias("v")), target, f"relationship({col})", F.col("v"))
+    target: str
+    name: str
+    key: Column
+    parent: str
 
 
-def density_detail(df: DataFrame, keys: Sequence[str], date_col: str) -> DataFrame:
-    """rows, series, days, missing cells and duplicate rows, with the verdict."""
-    keys = list(keys)
-    cells = df.groupBy(*keys, date_col).agg(F.count(F.lit(1)).alias("n"))
-    stats = cells.agg(
-        F.sum("n").cast("bigint").alias("rows"),
-        F.count_distinct(F.struct(*keys)).alias("series"),
-        F.count_distinct(date_col).alias("days"),
-        F.count(F.lit(1)).alias("cells"),
-    )
-    return stats.select(
-        "rows", "series", "days",
-        (F.col("series") * F.col("days") - F.col("cells")).alias("missing_cells"),
-        (F.col("rows") - F.col("cells")).alias("duplicate_rows"),
-    ).withColumn("passed", (F.col("missing_cells") == 0) & (F.col("duplicate_rows") == 0))
+def relationships(children: Sequence[tuple[DataFrame, Sequence[str], Sequence[ForeignKey]]],
+                  parents: Mapping[str, DataFrame]) -> DataFrame:
+    """All foreign keys in one pass: each child is read once, each parent once.
+
+    A child is counted per combination of its key ``columns``, which then spreads into one (parent, key) row per foreign
+    key; together with the parents' own keys these rows meet in one aggregate by (parent, key), whose flags
+    tell whether the parent has the key and how many rows of each foreign key point at it. Both aggregates
+    combine map-side, so a hot key costs a row per task. A parent's key is its first column.
+    """
+    tagged = [df.select(F.lit(name).alias("parent"), F.col(df.columns[0]).cast("string").alias("key"),
+                        F.lit(None).cast("int").alias("fk"), F.lit(0).cast("bigint").alias("n"))
+              for name, df in parents.items()]
+    every: list[ForeignKey] = []
+    for df, columns, keys in children:
+        links = F.array(*[F.struct(F.lit(k.parent).alias("parent"), k.key.cast("string").alias("key"), F.lit(len(every) + i).alias("fk"))
+                          for i, k in enumerate(keys)])
+        counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
+        tagged.append(counted.select(F.inline(links), F.col("_rows").alias("n")).where(F.col("key").isNotNull()).select("parent", "key", "fk", "n"))
+        every += keys
+    per_key = union_all(tagged).groupBy("parent", "key").agg(
+        F.bool_or(F.col("fk").isNull()).alias("known"), *[F.sum(F.when(F.col("fk") == i, F.col("n"))).alias(f"_{i}") for i in range(len(every))])
+    orphans = per_key.where(~F.col("known")).agg(*[F.coalesce(F.sum(f"_{i}"), F.lit(0)).cast("bigint").alias(f"_{i}") for i in range(len(every))])
+    rows = F.array(*[F.struct(F.lit(k.target).alias("target"), F.lit(f"relationship({k.name})").alias("check"), F.col(f"_{i}").alias("violations"))
+                     for i, k in enumerate(every)])
+    return orphans.select(F.inline(rows)).withColumn("passed", F.col("violations") == 0)
+
+
+# -- density: a bitmap of days per series --------------------------------------------
+WORD = 64
+
+
+def day_bitmaps(df: DataFrame, keys: Sequence[str], date_col: str, start: dt.date, days: int) -> DataFrame:
+    """(keys, rows, beyond, words): per series its rows, those outside the calendar of ``days`` days from
+    ``start``, and the calendar's days that it has, one bit each in 64-bit words. One aggregate, no distinct count."""
+    day = F.datediff(F.col(date_col), F.lit(start))
+    inside = F.coalesce((day >= 0) & (day < days), F.lit(False))
+    bit = F.expr(f"shiftleft(1L, CAST(_day % {WORD} AS INT))")
+    words = [F.coalesce(F.bit_or(F.when(F.col("_in") & (F.floor(F.col("_day") / WORD) == w), bit)), F.lit(0).cast("bigint"))
+             for w in range(-(-days // WORD))]
+    return (df.select(*keys, day.alias("_day"), inside.alias("_in")).groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("rows"), count_where(~F.col("_in")).alias("beyond"), F.array(*words).alias("words")))
+
+
+def _bits(words: Column) -> Column:
+    return F.aggregate(F.transform(words, lambda w: F.bit_count(w).cast("bigint")), F.lit(0).cast("bigint"), lambda a, b: a + b)
+
+
+def _calendar(bitmaps: DataFrame, days: int) -> DataFrame:
+    """One row: the days that any series has."""
+    n = -(-days // WORD)
+    return bitmaps.agg(F.array(*[F.coalesce(F.bit_or(F.element_at("words", w + 1)), F.lit(0).cast("bigint")) for w in range(n)]).alias("all_words"))
+
+
+def density_detail(bitmaps: DataFrame, days: int) -> DataFrame:
+    """rows, series, days, missing cells and duplicate rows of ``day_bitmaps``, with the verdict."""
+    n = -(-days // WORD)
+    stats = bitmaps.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("series"),
+        F.coalesce(F.sum(_bits(F.col("words"))), F.lit(0)).alias("cells"), F.coalesce(F.sum("beyond"), F.lit(0)).alias("beyond"),
+        F.array(*[F.coalesce(F.bit_or(F.element_at("words", w + 1)), F.lit(0).cast("bigint")) for w in range(n)]).alias("all_words"))
+    return stats.select("rows", "series", _bits(F.col("all_words")).alias("days"), "cells", "beyond").select(
+        "rows", "series", "days", (F.col("series") * F.col("days") - F.col("cells")).alias("missing_cells"),
+        (F.col("rows") - F.col("cells") - F.col("beyond")).alias("duplicate_rows"), "beyond",
+    ).withColumn("passed", (F.col("missing_cells") == 0) & (F.col("duplicate_rows") == 0) & (F.col("beyond") == 0)).drop("beyond")
+
+
+def density_gaps(bitmaps: DataFrame, keys: Sequence[str], start: dt.date, days: int) -> DataFrame:
+    """(keys, missing, missing_days): series that lack days which others have, with the days named."""
+    joined = bitmaps.join(F.broadcast(_calendar(bitmaps, days)))  # one row
+    lacking = joined.withColumn("gap", F.zip_with("words", "all_words", lambda own, all_: all_.bitwiseAND(F.bitwise_not(own))))
+    gaps = lacking.where(F.exists("gap", lambda w: w != 0))
+    absent = F.filter(F.sequence(F.lit(0), F.lit(days - 1)), lambda d: F.getbit(F.element_at(F.col("gap"), (F.floor(d / WORD) + 1).cast("int")), (d % WORD).cast("int")) == 1)
+    named = F.transform(absent, lambda d: F.date_add(F.lit(start), d).cast("string"))
+    return gaps.select(*keys, F.size(absent).cast("bigint").alias("missing"), F.array_join(named, ",").alias("missing_days"))
 
 
 def one_current_version(history: DataFrame, target: str, key: str = "product_id",
@@ -167,15 +218,6 @@ def one_current_version(history: DataFrame, target: str, key: str = "product_id"
     return _result(bad, target, "one_current_version", F.col("v"))
 
 
-def required_columns(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
-    """Required columns present (extra columns allowed). Metadata only: the
-    schema is inspected on the driver, no data is read."""
-    missing = [c for c in columns if c not in df.columns]
-    spark = df.sparkSession
-    one = spark.range(1).select(F.lit(len(missing)).alias("v"))
-    return _result(one, target, "columns_present", F.col("v"))
-
-
 def column_minimums(df: DataFrame, columns: Sequence[str], minimum: float = 0) -> DataFrame:
     """Minimum of each column in one pass, with a >= minimum verdict."""
     mins = df.agg(*[F.min(c).cast("bigint").alias(c) for c in columns])
@@ -198,24 +240,18 @@ def violating_outlived_stock(inventory: DataFrame, shelf_life: DataFrame) -> Dat
 
 # -- suites ------------------------------------------------------------------------
 def inventory_suite(inventory: DataFrame, target: str = "fact_inventory_snapshot") -> DataFrame:
-    """Dense daily snapshot: columns, grain, non-null day, non-negative stock."""
-    from shelfrisk.sources.schemas import GRAIN, INVENTORY_COLUMNS
-
-    return union_all([
-        required_columns(inventory, target, INVENTORY_COLUMNS),
-        grain_and_row_checks(inventory, target, GRAIN, {
-            "not_null(snapshot_date)": is_null("snapshot_date"),
-            "min(on_hand_qty) >= 0": below("on_hand_qty", 0),
-            "min(received_qty) >= 0": below("received_qty", 0),
-            "min(spoiled_qty) >= 0": below("spoiled_qty", 0),
-        }),
-    ])
+    """Dense daily snapshot: grain, non-null day, non-negative stock. (Its columns are held to the declared
+    schema when it lands.)"""
+    return grain_and_row_checks(inventory, target, GRAIN, {
+        "not_null(snapshot_date)": is_null("snapshot_date"),
+        "min(on_hand_qty) >= 0": below("on_hand_qty", 0),
+        "min(received_qty) >= 0": below("received_qty", 0),
+        "min(spoiled_qty) >= 0": below("spoiled_qty", 0),
+    })
 
 
 def risk_suite(gold: DataFrame, target: str = "perishables_risk") -> DataFrame:
     """Gold table: grain, bounded scores, known flags, build stamp present."""
-    from shelfrisk.sources.schemas import GRAIN
-
     checks = {
         "between(spoilage_risk_score, 0, 1)": outside("spoilage_risk_score", 0, 1),
         "between(stockout_risk_score, 0, 1)": outside("stockout_risk_score", 0, 1),
@@ -224,20 +260,3 @@ def risk_suite(gold: DataFrame, target: str = "perishables_risk") -> DataFrame:
     if "computed_at" in gold.columns:
         checks["not_null(computed_at)"] = is_null("computed_at")
     return grain_and_row_checks(gold, target, GRAIN, checks)
-
-
-def all_passed(results: DataFrame) -> bool:
-    """True when there is a check and every check passed (reads one row per check)."""
-    return results.agg(F.bool_and("passed").alias("ok")).first()["ok"] is True
-
-
-def promote_if_passing(df: DataFrame, results: DataFrame, path: str,
-                       partition_cols: Sequence[str] = ()) -> bool:
-    """Write ``df`` to ``path`` only if every check in ``results`` passed."""
-    if not all_passed(results):
-        return False
-    writer = df.write.mode("overwrite")
-    if partition_cols:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
-    writer.parquet(path)
-    return True

@@ -1,7 +1,7 @@
 """Dense daily spine and trailing sell-through.
 
-Partitioning: both facts are hash-partitioned once on ``partition_col``
-(product_id by default). With ``spark.sql.requireAllClusterKeysForCoPartition``
+Partitioning: stored facts are bucketed by product_id and cross no network at all; others
+are hash-partitioned once on ``partition_col`` (product_id by default). With ``spark.sql.requireAllClusterKeysForCoPartition``
 off (see ``session.configure``) the left join on (store, product, date) and the
 window over (store, product) both reuse that partitioning, so the dense
 spine crosses the network once. A product's rows are bounded by
@@ -49,12 +49,18 @@ def densify(df: DataFrame, keys: Sequence[str], date_col: str, fill: dict[str, o
 def dense_sales(inventory: DataFrame, sales: DataFrame, keys: Sequence[str] = KEYS,
                 date_col: str = "snapshot_date", sale_date_col: str = "sale_date",
                 units_col: str = "units_sold", partition_col: str | None = "product_id") -> DataFrame:
-    """Left-join daily units onto the dense inventory spine; no sale -> 0."""
+    """Left-join daily units onto the dense inventory spine; no sale -> 0.
+
+    ``partition_col=None`` is for facts that are stored bucketed by a key: they are merged as they lie, and the
+    merge's order by (keys, day) is the one that a window over the series needs.
+    """
     keys = list(keys)
     s = sales.select(*keys, F.col(sale_date_col).alias(date_col), F.col(units_col).alias("_units"))
     inv = inventory
     if partition_col:
         inv, s = inv.repartition(partition_col), s.repartition(partition_col)
+    else:
+        s = s.hint("merge")
     joined = inv.join(s, keys + [date_col], "left")
     return joined.select(
         *[F.col(c) for c in inventory.columns],

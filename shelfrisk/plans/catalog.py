@@ -105,7 +105,7 @@ def sell_through_q(spark, sf_dir):
 def sell_through_dense(spark, sf_dir):
     """Dense spine with zero-filled daily units (no window)."""
     w = Warehouse.of(spark, sf_dir)
-    return velocity.dense_sales(w.inventory, w.sales)
+    return velocity.dense_sales(w.inventory, w.sales, partition_col=None)
 
 
 @query("densify_spine")
@@ -156,7 +156,7 @@ def stockout_score_q(spark, sf_dir):
 def _enriched(spark, sf_dir, newest_only=False, ordered=False):
     w = Warehouse.of(spark, sf_dir)
     gold = w.gold_table().drop("computed_at")
-    day = serving.newest_day(gold) if newest_only else None  # a scalar, as a dashboard picks it
+    day = w.gold_mart().newest() if newest_only else None  # from the manifest, as a dashboard picks it
     return serving.enriched_rows(gold, w.products, w.stores, snapshot_date=day, ordered=ordered)
 
 
@@ -231,7 +231,9 @@ def trend_pivot(spark, sf_dir):
 
 @query("available_dates")
 def available_dates(spark, sf_dir):
-    return serving.available_dates(Warehouse.of(spark, sf_dir).gold_table())
+    """Published days, newest first, from the mart's manifest: no data file is opened."""
+    days = Warehouse.of(spark, sf_dir).gold_mart().values()
+    return spark.createDataFrame([(d,) for d in reversed(days)], "snapshot_date string")
 
 
 @query("filter_values")
@@ -296,6 +298,12 @@ def supplier_conform(spark, sf_dir):
     return conform.conform_suppliers(w.raw_supplier_extract, LOAD_DATE).select(*CONFORM_COLUMNS)
 
 
+@query("supplier_quarantine")
+def supplier_quarantine(spark, sf_dir):
+    """The extract rows that are not loaded, as they came, with the first rule that each breaks."""
+    return conform.quarantined_suppliers(Warehouse.of(spark, sf_dir).raw_supplier_extract)
+
+
 @query("csv_roundtrip")
 def csv_roundtrip(spark, sf_dir):
     """The extract written as headered CSV, read back as strings, conformed."""
@@ -380,40 +388,60 @@ def dq_unique(spark, sf_dir):
 
 @query("dq_unique_grain")
 def dq_unique_grain(spark, sf_dir):
-    """Gold rows sharing a (store, product, day) grain."""
-    return quality.violating_duplicates(Warehouse.of(spark, sf_dir).gold_table(), schemas.GRAIN)
+    """Gold rows sharing a (store, product, day) grain: none in the mart; in a copy where rows with one piece
+    on hand stand twice, exactly these."""
+    gold = Warehouse.of(spark, sf_dir).gold_table()
+    twice = gold.unionByName(gold.where(F.col("on_hand_qty") == 1))
+    return quality.union_all([quality.violating_duplicates(df, schemas.GRAIN).select(F.lit(target).alias("target"), "*")
+                              for target, df in (("perishables_risk", gold), ("perishables_risk[seeded]", twice))])
+
+
+def _linked(target: str, df: DataFrame, parents: dict[str, str]):
+    """A child with its foreign keys, each also with seeded orphans: keys ending in 7 changed to unknown ones."""
+    keys = []
+    for col, parent in parents.items():
+        seeded = F.when(F.col(col).endswith("7"), F.concat(F.lit("?"), F.col(col))).otherwise(F.col(col))
+        keys += [quality.ForeignKey(target, col, F.col(col), parent), quality.ForeignKey(f"{target}[seeded]", col, seeded, parent)]
+    return df, list(parents), keys
 
 
 @query("dq_relationships")
 def dq_relationships(spark, sf_dir):
+    """Every foreign key of the warehouse in one pass, and the same keys with seeded orphans."""
     w = Warehouse.of(spark, sf_dir)
-    gold = w.gold_table()
-    rel = quality.relationship
-    return quality.union_all([
-        rel(w.products, "dim_product", "supplier_id", w.suppliers),
-        rel(w.shelf_life, "dim_shelf_life", "product_id", w.products),
-        rel(w.sales, "fact_sales", "store_id", w.stores),
-        rel(w.sales, "fact_sales", "product_id", w.products),
-        rel(w.inventory, "fact_inventory_snapshot", "store_id", w.stores),
-        rel(w.inventory, "fact_inventory_snapshot", "product_id", w.products),
-        rel(gold, "perishables_risk", "store_id", w.stores),
-        rel(gold, "perishables_risk", "product_id", w.products),
-        rel(conform.clean_suppliers(w.raw_supplier_extract), "raw_supplier_extract",
-            "supplier_id", w.suppliers),
-    ])
+    both = {"store_id": "dim_store", "product_id": "dim_product"}
+    return quality.relationships([
+        _linked("dim_product", w.products, {"supplier_id": "dim_supplier"}),
+        _linked("dim_shelf_life", w.shelf_life, {"product_id": "dim_product"}),
+        _linked("fact_sales", w.sales, both),
+        _linked("fact_inventory_snapshot", w.inventory, both),
+        _linked("perishables_risk", w.gold_table(), both),
+        _linked("raw_supplier_extract", conform.clean_suppliers(w.raw_supplier_extract), {"supplier_id": "dim_supplier"}),
+    ], {"dim_store": w.stores.select("store_id"), "dim_product": w.products.select("product_id"),
+        "dim_supplier": w.suppliers.select("supplier_id")})
+
+
+SERIES = ("store_id", "product_id")
+
+
+def _bitmaps(spark, sf_dir) -> dict[str, DataFrame]:
+    w = Warehouse.of(spark, sf_dir)
+    return {"fact_inventory_snapshot": quality.day_bitmaps(w.inventory, SERIES, "snapshot_date", domain.SEASON_START, domain.SEASON_DAYS),
+            "fact_sales": quality.day_bitmaps(w.sales, SERIES, "sale_date", domain.SEASON_START, domain.SEASON_DAYS)}
 
 
 @query("dq_density")
 def dq_density(spark, sf_dir):
     """Dense snapshot passes; the sparse sales fact, checked the same way, does not."""
-    w = Warehouse.of(spark, sf_dir)
-    keys = ["store_id", "product_id"]
-    return quality.union_all([
-        quality.density_detail(w.inventory, keys, "snapshot_date")
-        .select(F.lit("fact_inventory_snapshot").alias("target"), "*"),
-        quality.density_detail(w.sales, keys, "sale_date")
-        .select(F.lit("fact_sales").alias("target"), "*"),
-    ])
+    return quality.union_all([quality.density_detail(b, domain.SEASON_DAYS).select(F.lit(target).alias("target"), "*")
+                              for target, b in _bitmaps(spark, sf_dir).items()])
+
+
+@query("dq_density_gaps")
+def dq_density_gaps(spark, sf_dir):
+    """Series that lack days, with the days named: none in the snapshot, the days without sales in the sales fact."""
+    return quality.union_all([quality.density_gaps(b, SERIES, domain.SEASON_START, domain.SEASON_DAYS).select(F.lit(target).alias("target"), "*")
+                              for target, b in _bitmaps(spark, sf_dir).items()])
 
 
 @query("dq_accepted_values")
@@ -474,7 +502,14 @@ def dq_scd2_current(spark, sf_dir):
 
 @query("dq_suite_inventory")
 def dq_suite_inventory(spark, sf_dir):
-    return quality.inventory_suite(Warehouse.of(spark, sf_dir).inventory)
+    """The suite over the snapshot, and over a copy with seeded faults: rows on the first day without one,
+    rows with one piece on hand below zero, and spoiled rows twice."""
+    inv = Warehouse.of(spark, sf_dir).inventory
+    faulty = inv.withColumns({
+        "snapshot_date": F.when((F.col("received_qty") == 5) & (F.col("snapshot_date") == F.lit(domain.SEASON_START)), None).otherwise(F.col("snapshot_date")),
+        "on_hand_qty": F.when(F.col("on_hand_qty") == 1, F.lit(-1)).otherwise(F.col("on_hand_qty"))})
+    faulty = faulty.unionByName(faulty.where(F.col("spoiled_qty") == 7))
+    return quality.union_all([quality.inventory_suite(inv), quality.inventory_suite(faulty, "fact_inventory_snapshot[seeded]")])
 
 
 @query("dq_suite_risk")
@@ -600,15 +635,42 @@ def sql_scores(spark, sf_dir):
         "lead_time_days) * 1000, 0) / 1000 AS stockout_risk_score")
 
 
+# Sales that the incremental query lets arrive late: of these season days, for stores of odd number.
+LATE_DAYS = (3, 4, 17, 28)
+
+
 @query("risk_gold_incremental")
 def risk_gold_incremental(spark, sf_dir):
-    """The newest day recomputed incrementally from its 7-day look-back and
-    merged into a copy of the stored mart by dynamic partition overwrite;
-    the query reads that day back from the refreshed mart."""
+    """A mart published before some sales came in, brought up to date by their change set: late rows of
+    several days, some of whose windows overlap or reach beyond the season. The whole mart is read back."""
+    w = Warehouse.of(spark, sf_dir)
+    day = F.datediff("sale_date", F.lit(domain.SEASON_START))
+    late = day.isin(*LATE_DAYS) & F.col("store_id").rlike("[13579]$")
+    mart = w.new_gold_mart("mart-incremental")
+    w.publish_gold(mart, w.gold_from(w.sales.where(~late)))
+    w.refresh_gold(mart, w.sales, w.sales.where(late))
+    return mart.read().select(*risk.GOLD_COLUMNS)
+
+
+def broken(gold: DataFrame) -> DataFrame:
+    """Gold rows with seeded faults: unknown flags, scores above 1, and repeated rows."""
+    wrong = gold.withColumns({
+        "risk_flag": F.when(F.col("on_hand_qty") == 1, F.lit("MAYBE")).otherwise(F.col("risk_flag")),
+        "spoilage_risk_score": F.when(F.col("on_hand_qty") == 2, F.col("spoilage_risk_score") + 1.5).otherwise(F.col("spoilage_risk_score")),
+    })
+    return wrong.unionByName(wrong.where(F.col("on_hand_qty") == 3))
+
+
+@query("dq_gate")
+def dq_gate(spark, sf_dir):
+    """Two publishes of one mart: a good build, then one with seeded faults. Per check its violations,
+    whether the build was published, and the rows that readers see afterwards."""
     w = Warehouse.of(spark, sf_dir)
-    path = scratch_path(spark, "mart-incremental")
-    w.gold_table().write.mode("overwrite").partitionBy("snapshot_date").parquet(path)
-    w.refresh_gold_day(path, LAST_SEASON_DAY)
-    stored = spark.read.parquet(path)
-    return stored.where(F.col("snapshot_date") == F.to_date(F.lit(LAST_SEASON_DAY))).select(
-        *risk.GOLD_COLUMNS)
+    mart = w.new_gold_mart("mart-gate")
+    rows = []
+    good = w.gold_table()
+    for name, build in (("good", good), ("broken", broken(good))):
+        outcome = mart.publish(build, quality.risk_suite)
+        seen = sum(p.rows for p in mart.partitions())
+        rows += [(name, c["check"], c["violations"], c["passed"], outcome.version is not None, seen) for c in outcome.checks]
+    return spark.createDataFrame(rows, "build string, check string, violations long, passed boolean, published boolean, visible_rows long")

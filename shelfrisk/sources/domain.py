@@ -211,7 +211,7 @@ def raw_supplier_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------- #
 # Facts
 # --------------------------------------------------------------------------- #
-def _sales_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Units shipped per (nation, part, season day) over all line items.
 
     Orders meet customers first (the smaller join), then line items; the
@@ -233,8 +233,9 @@ def _sales_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    agg = _sales_by_key(spark, sf_dir)
+def raw_fact_sales(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
+    """``keys``: the result of ``sales_by_key`` if it is stored already."""
+    agg = sales_by_key(spark, sf_dir) if keys is None else keys
     part = read_table(spark, sf_dir, "part", "p_partkey", "p_retailprice")
     units = F.col("qty").cast("bigint")
     return (
@@ -263,26 +264,33 @@ def inventory_quantities(s: Column, p: Column, t: Column) -> dict[str, Column]:
     }
 
 
-def raw_fact_inventory_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense snapshot: every selling (store, product) pair on every season day."""
-    pairs = _sales_by_key(spark, sf_dir).select("store_key", "product_key").distinct()
-    spine = pairs.select("store_key", "product_key",
+def raw_fact_inventory_snapshot(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None,
+                                partitions: int | None = None) -> DataFrame:
+    """Dense snapshot: every selling (store, product) pair on every season day.
+
+    ``keys`` as in ``raw_fact_sales``; with ``partitions`` the pairs are dealt by product_id first.
+    """
+    keys = sales_by_key(spark, sf_dir) if keys is None else keys
+    pairs = keys.select("store_key", "product_key").distinct().withColumn("product_id", product_id(F.col("product_key")))
+    if partitions:
+        pairs = pairs.repartition(partitions, "product_id")
+    spine = pairs.select("store_key", "product_key", "product_id",
                          F.explode(F.sequence(F.lit(0), F.lit(SEASON_DAYS - 1))).alias("day"))
     s, p, t = F.col("store_key"), F.col("product_key"), F.col("day")
     q = inventory_quantities(s, p, t)
     return spine.select(
         store_id(s).alias("store_id"),
-        product_id(p).alias("product_id"),
+        "product_id",
         F.date_add(F.lit(SEASON_START), t).alias("snapshot_date"),
         *[c.cast("bigint").alias(name) for name, c in q.items()],
     )
 
 
-def raw_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_dim_date(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
     """Calendar rows for every day between the first and last sale day."""
     from shelfrisk.functions.calendar import date_rows
 
-    span = _sales_by_key(spark, sf_dir).agg(
+    span = (sales_by_key(spark, sf_dir) if keys is None else keys).agg(
         F.date_add(F.lit(SEASON_START), F.min("day")).alias("start"),
         F.date_add(F.lit(SEASON_START), F.max("day")).alias("end"),
     )
