@@ -1,131 +1,128 @@
-"""FIFO lot ageing over a daily ledger of receipts and demand.
-
-Per (store, product) and day, in order: stock at or past its shelf life is
-written off (oldest first), the day's receipt lands, demand is served from the
-oldest lots, and the end-of-day position is reported: on hand, age of the
-oldest lot, spoiled, sold, unmet.
-
-All lots of a series share one shelf life L and leave oldest-first, so the
-whole lot list collapses to one number: R, the units removed so far. With
-C(t) the cumulative receipts (opening stock counted on day -1):
-
-    expired floor   E = max(R(t-1), C(t-L))      spoiled = E - R(t-1)
-    sold            = min(demand, C(t) - E)      R(t)    = E + sold
-    on hand         = C(t) - R(t)
-    oldest lot      = first day s with C(s) > R(t)
-
-The recurrence mixes min and max, so no window function expresses it.
-``fifo_age`` hash-partitions the ledger by series, sorts each partition by
-(series, day) and runs ``mapInPandas``: each Arrow batch is advanced one day
-position at a time with numpy, vectorised across every series in the batch
-(days iterations per batch, not one Python step per row). A series cut by a
-batch boundary is carried into the next batch, so memory stays one batch.
-The ledger must be dense per series (``velocity.densify``).
+"""FIFO lot ageing over a daily ledger of receipts and demand, as an associative scan.
+
+Per (store, product) and day, in order: stock at or past its shelf life is written off (oldest first), the day's receipt
+lands, demand is served from the oldest lots, and the end-of-day position is reported: on hand, age of the oldest
+lot, spoiled, sold, unmet.
+
+All lots of a series share one shelf life and leave oldest-first, so the lot list is one number: R, the units removed so
+far. With C the units received so far and X those of them that are past their life, a day with demand D does
+
+    R -> min(max(R, X) + D, C)
+
+which is a shift followed by a clamp, r -> min(max(r + s, lo), hi). Two such maps in a row are again one, so a run of days
+is three numbers whatever its length, and a series can be cut: each piece of ``PIECE`` days becomes its map in parallel,
+the maps before a piece give the R that it starts from, and each piece replays its own days. The oldest open lot is the first
+whose C is above R; a lot is sent to the pieces that it can live into, so this too stays within pieces.
+
+Everything is built-in functions: aggregates and windows by series or (series, piece), which all fit facts that are
+stored bucketed by a key of the series; with ``split`` a series' pieces go to different tasks. A task holds one piece's days at a time; a window over a series sees one row
+per piece. The ledger need not be dense: a day without a row is a day without receipt and demand.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 OUT_FIELDS = ("on_hand_qty", "oldest_batch_age_days", "spoiled_qty", "sold_qty", "unmet_demand")
-
-
-# --------------------------------------------------------------------------- #
-# Vectorised form (mapInPandas)
-# --------------------------------------------------------------------------- #
-def _advance(frame: pd.DataFrame, keys: list[str], day_col: str) -> pd.DataFrame:
-    """FIFO positions of complete, (series, day)-sorted series in one frame."""
-    n = len(frame)
-    key_frame = frame[keys]
-    new_series = np.ones(n, dtype=bool)
-    if n > 1:
-        new_series[1:] = (key_frame.iloc[1:].to_numpy() != key_frame.iloc[:-1].to_numpy()).any(axis=1)
-    sid = np.cumsum(new_series) - 1
-    starts = np.flatnonzero(new_series)
-    lengths = np.diff(np.append(starts, n))
-    pos = np.arange(n) - starts[sid]
-
-    rec = frame["_received"].to_numpy(np.int64)
-    dem = frame["_demand"].to_numpy(np.int64)
-    life = frame["_life"].to_numpy(np.int64)[starts][sid]
-    opening = frame["_opening"].to_numpy(np.int64)[starts][sid]
-    csum = np.cumsum(rec)
-    base = np.where(starts > 0, csum[starts - 1], 0)
-    cum = opening + csum - base[sid]                       # C(t), opening counted on day -1
-
-    removed = np.zeros(n, dtype=np.int64)                  # R(t)
-    spoiled = np.zeros(n, dtype=np.int64)
-    sold = np.zeros(n, dtype=np.int64)
-    for p in range(int(lengths.max()) if n else 0):
-        rows = starts[lengths > p] + p
-        prev = removed[rows - 1] if p > 0 else np.zeros(len(rows), dtype=np.int64)
-        back = p - life[rows]
-        expired = np.where(back >= 0, cum[rows - p + np.maximum(back, 0)],
-                           np.where(back == -1, opening[rows], 0))
-        floor = np.maximum(prev, expired)
-        sold[rows] = np.minimum(dem[rows], cum[rows] - floor)
-        spoiled[rows] = floor - prev
-        removed[rows] = floor + sold[rows]
-    on_hand = cum - removed
-    # Oldest open lot: first day s of the series with C(s) > R(t). C rises
-    # within a series, so offsetting each series by sid * span makes one
-    # globally sorted array for a single searchsorted.
-    span = int(cum.max()) + 1 if n else 1
-    first_open = np.searchsorted(sid * span + cum, sid * span + removed, side="right")
-    first_open = np.minimum(first_open, n - 1)
-    oldest = np.where(opening > removed, -1, pos[first_open])
-    age = np.where(on_hand > 0, pos - oldest, 0)
-    out = frame[keys + [day_col]].copy()
-    out["on_hand_qty"] = on_hand
-    out["oldest_batch_age_days"] = age.astype(np.int64)
-    out["spoiled_qty"] = spoiled
-    out["sold_qty"] = sold
-    out["unmet_demand"] = dem - sold
-    return out
-
-
-def _batches(keys: list[str], day_col: str):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry = None
-        for frame in frames:
-            if carry is not None:
-                frame = pd.concat([carry, frame], ignore_index=True)
-            if frame.empty:
-                continue
-            last = frame[keys].iloc[-1].to_numpy()
-            tail = (frame[keys].to_numpy() == last).all(axis=1)
-            cut = int(np.argmax(tail)) if tail.any() else len(frame)
-            carry = frame.iloc[cut:].reset_index(drop=True)
-            done = frame.iloc[:cut].reset_index(drop=True)
-            if len(done):
-                yield _advance(done, keys, day_col)
-        if carry is not None and len(carry):
-            yield _advance(carry, keys, day_col)
-    return run
+#: Days of a piece, and a number beyond all quantities, for the map that changes nothing.
+PIECE, BEYOND = 32, 1 << 60
+
+EVENT = "struct<day:bigint,received:bigint,demand:bigint,expired:bigint,life:bigint,listed:boolean>"
+REPLAYED = "struct<day:bigint,received:bigint,life:bigint,listed:boolean,c:bigint,floor:bigint,before:bigint,r:bigint,demand:bigint>"
+
+
+def _lot(day: str, units: str, when: str = "true") -> str:
+    """Array of the two events of a lot: it comes, and what is left of it goes."""
+    return f"""if({when} AND {units} > 0, array(
+        named_struct('day', {day}, 'received', {units}, 'demand', 0L, 'expired', 0L, 'life', _life, 'listed', false),
+        named_struct('day', {day} + _life, 'received', 0L, 'demand', 0L, 'expired', {units}, 'life', 0L, 'listed', false)), cast(array() AS array<{EVENT}>))"""
+
+
+LISTED = "array(named_struct('day', _day, 'received', 0L, 'demand', _demand, 'expired', 0L, 'life', 0L, 'listed', true))"
+
+
+def _events(ledger: DataFrame, keys: list[str], split: bool) -> DataFrame:
+    """One row per series and day on which anything happens: receipts (opening stock as a lot that came
+    before), demand, and units that come to the end of their life."""
+    opening = _lot("_day - _age", "_opening", "_first")
+    if split:
+        firsts = ledger.groupBy(*keys).agg(F.min_by(F.struct("_day", "_life", "_opening", "_age", F.lit(True).alias("_first")), "_day").alias("_f"))
+        happens = (ledger.select(*keys, F.expr(f"inline(concat({LISTED}, {_lot('_day', '_received')}))"))
+                   .unionByName(firsts.select(*keys, "_f.*").select(*keys, F.expr(f"inline({opening})"))))
+    else:
+        first = F.lag("_day").over(Window.partitionBy(*keys).orderBy("_day")).isNull()
+        happens = ledger.withColumn("_first", first).select(*keys, F.expr(f"inline(concat({LISTED}, {_lot('_day', '_received')}, {opening}))"))
+    return happens.groupBy(*keys, "day").agg(*[F.sum(c).alias(c) for c in ("received", "demand", "expired")],
+                                             F.max("life").alias("life"), F.max("listed").alias("listed"))
+
+
+def _replayed(events: DataFrame, keys: list[str], piece_days: int, split: bool) -> DataFrame:
+    """Each event day with C, and R before, after the write-off (``floor``) and after the sales."""
+    series = Window.partitionBy(*keys).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+
+    def from_before(pieces: DataFrame, columns: dict) -> DataFrame:
+        """What a piece needs of the pieces before it. Split, only the pieces' numbers go to one task per series."""
+        if not split:
+            return pieces.withColumns(columns)
+        return pieces.join(pieces.drop("days").withColumns(columns).select(*keys, "piece", *columns), [*keys, "piece"])
+
+    placed = events.withColumn("piece", F.floor(F.col("day") / piece_days))
+    if split:
+        placed = placed.repartition(*keys, "piece")
+    pieces = placed.groupBy(*keys, "piece").agg(
+        F.array_sort(F.collect_list(F.struct("day", "received", "demand", "expired", "life", "listed"))).alias("days"),
+        F.sum("received").alias("all_received"), F.sum("expired").alias("all_expired"))
+    totalled = from_before(pieces, {"c_in": F.coalesce(F.sum("all_received").over(series), F.lit(0).cast("bigint")),
+                                    "x_in": F.coalesce(F.sum("all_expired").over(series), F.lit(0).cast("bigint"))})
+    composed = totalled.withColumn("map", F.expr(f"""aggregate(days, named_struct('c', c_in, 'x', x_in, 's', 0L, 'lo', -{BEYOND}L, 'hi', {BEYOND}L),
+        (m, d) -> named_struct('c', m.c + d.received, 'x', m.x + d.expired, 's', m.s + d.demand,
+            'lo', greatest(m.lo, m.x + d.expired) + d.demand,
+            'hi', least(greatest(m.hi, m.x + d.expired) + d.demand, m.c + d.received)))"""))
+    entered = from_before(composed, {"maps": F.collect_list(F.struct("map.s", "map.lo", "map.hi")).over(series)}).withColumn(
+        "r_in", F.expr("aggregate(maps, 0L, (r, m) -> least(greatest(r + m.s, m.lo), m.hi))"))
+    return entered.select(*keys, F.expr(f"""inline(aggregate(days, named_struct('c', c_in, 'x', x_in, 'r', r_in, 'out', cast(array() AS array<{REPLAYED}>)),
+        (a, d) -> named_struct('c', a.c + d.received, 'x', a.x + d.expired,
+            'r', least(greatest(a.r, a.x + d.expired) + d.demand, a.c + d.received),
+            'out', array_append(a.out, named_struct('day', d.day, 'received', d.received, 'life', d.life, 'listed', d.listed,
+                'c', a.c + d.received, 'floor', greatest(a.r, a.x + d.expired), 'before', a.r,
+                'r', least(greatest(a.r, a.x + d.expired) + d.demand, a.c + d.received), 'demand', d.demand))),
+        a -> a.out))"""))
+
+
+def _with_oldest(replayed: DataFrame, keys: list[str], piece_days: int) -> DataFrame:
+    """Listed days with the day of the oldest open lot: the first lot whose C is above the day's R."""
+    marks = F.expr(f"""inline(concat(
+        array(named_struct('piece', floor(day / {piece_days}), 'value', r, 'lot', cast(null AS bigint))),
+        if(received > 0, transform(sequence(floor(day / {piece_days}), floor((day + life - 1) / {piece_days})),
+                                   p -> named_struct('piece', p, 'value', c, 'lot', day)),
+           cast(array() AS array<struct<piece:bigint,value:bigint,lot:bigint>>))))""")
+    above = Window.partitionBy(*keys, "piece").orderBy(F.desc("value"), F.asc_nulls_first("lot")).rowsBetween(Window.unboundedPreceding, -1)
+    spread = replayed.select(*keys, "day", "listed", "c", "floor", "before", "r", "demand", marks)
+    return spread.withColumn("oldest", F.min("lot").over(above)).where(F.col("listed") & F.col("lot").isNull())
 
 
 def fifo_age(ledger: DataFrame, keys: Sequence[str], day_col: str, received_col: str,
-             demand_col: str, shelf_life_col: str, opening_col: str) -> DataFrame:
-    """Daily FIFO positions of every series of a dense ledger (vectorised).
-
-    ``shelf_life_col`` and ``opening_col`` are constant per series (the first
-    day's values are used).
+             demand_col: str, shelf_life_col: str, opening_col: str, opening_age_col: str | None = None,
+             piece_days: int = PIECE, split: bool = False) -> DataFrame:
+    """Daily FIFO positions of every series of a ledger with one row per series and day.
+
+    ``shelf_life_col`` is constant per series. Of ``opening_col``, the stock before the first day's receipt, and
+    ``opening_age_col``, how many days before the first day it came (1 if not given), the first day's values count.
+    ``split`` deals the pieces of a series out over tasks (for few and very long series); without it a series stays
+    where it lies, which costs no exchange on bucketed facts.
     """
     keys = list(keys)
-    prepared = ledger.select(
-        *keys, day_col,
-        F.col(received_col).cast("bigint").alias("_received"),
-        F.col(demand_col).cast("bigint").alias("_demand"),
-        F.col(shelf_life_col).cast("bigint").alias("_life"),
-        F.col(opening_col).cast("bigint").alias("_opening"),
-    )
-    arranged = prepared.repartition(*keys).sortWithinPartitions(*keys, day_col)
-    types = dict(ledger.dtypes)
-    schema = ", ".join([f"{k} {types[k]}" for k in keys] + [f"{day_col} {types[day_col]}"]
-                       + [f"{c} bigint" for c in OUT_FIELDS])
-    return arranged.mapInPandas(_batches(keys, day_col), schema)
+    age = F.col(opening_age_col) if opening_age_col else F.lit(1)
+    named = {"_day": F.col(day_col), "_received": F.col(received_col), "_demand": F.col(demand_col),
+             "_life": F.col(shelf_life_col), "_opening": F.col(opening_col), "_age": age}
+    prepared = ledger.select(*keys, *[c.cast("bigint").alias(n) for n, c in named.items()])
+    placed = _with_oldest(_replayed(_events(prepared, keys, split), keys, piece_days, split), keys, piece_days)
+    on_hand = F.col("c") - F.col("r")
+    sold = F.col("r") - F.col("floor")
+    return placed.select(
+        *keys, F.col("day").cast(dict(ledger.dtypes)[day_col]).alias(day_col), on_hand.alias("on_hand_qty"),
+        F.when(on_hand > 0, F.col("day") - F.col("oldest")).otherwise(F.lit(0).cast("bigint")).alias("oldest_batch_age_days"),
+        (F.col("floor") - F.col("before")).alias("spoiled_qty"), sold.alias("sold_qty"), (F.col("demand") - sold).alias("unmet_demand"))

@@ -593,17 +593,20 @@ def stream_summary(spark, sf_dir):
 # --------------------------------------------------------------------------- #
 @query("fifo_aging")
 def fifo_aging(spark, sf_dir):
-    """FIFO lot ageing of every (store, product) ledger: receipts from the
-    snapshot, demand from sales, opening stock = the first day's on-hand,
-    shelf life = the current version."""
+    """FIFO lot ageing of every (store, product) ledger: receipts from the snapshot, demand from sales, shelf life =
+    the current version. Opening stock is what stood on the shelf before the first day's receipt: that day's
+    end stock with its sales and write-offs put back and its receipt taken away, as old as its oldest lot
+    (a day at least, its shelf life at most)."""
     w = Warehouse.of(spark, sf_dir)
     keys = ["store_id", "product_id"]
     current = w.shelf_life.where(F.col("is_current")).select("product_id", "shelf_life_days")
-    ledger = velocity.dense_sales(w.inventory, w.sales).join(current, "product_id").select(
+    opening = F.col("on_hand_qty") + F.col("spoiled_qty") + F.col("units_sold") - F.col("received_qty")
+    ledger = velocity.dense_sales(w.inventory, w.sales, partition_col=None).join(current, "product_id").select(
         *keys, F.datediff("snapshot_date", F.lit(domain.SEASON_START)).alias("day"),
-        "received_qty", "units_sold", "shelf_life_days", F.col("on_hand_qty").alias("opening"))
+        "received_qty", "units_sold", "shelf_life_days", F.greatest(opening, F.lit(0)).alias("opening"),
+        F.least(F.greatest("oldest_batch_age_days", F.lit(1)), "shelf_life_days").alias("opening_age"))
     out = fifo.fifo_age(ledger, keys, "day", "received_qty", "units_sold", "shelf_life_days",
-                        "opening")
+                        "opening", "opening_age")
     return out.select(*keys, F.date_add(F.lit(domain.SEASON_START), F.col("day"))
                       .alias("snapshot_date"), *fifo.OUT_FIELDS)
 

@@ -1,64 +1,80 @@
-"""FIFO lot ageing against a literal lot-list simulation."""
+"""FIFO lot ageing against a unit-by-unit simulation, whole and cut into pieces."""
 from __future__ import annotations
 
 import random
 
+import pytest
+
+from conftest import SMOKE_DIR
 from shelfrisk.operators.fifo import OUT_FIELDS, fifo_age
+from shelfrisk.plans.catalog import QUERIES
+
+LEDGER = "store_id string, product_id string, day int, received long, demand long, life long, opening long, age long"
 
 
-def _brute(days, life, opening):
+def _brute(days, life, opening, age):
     """Every unit is an entry of one queue: the day it came. Old units leave at the front, so do sold ones."""
-    queue, out = [-1] * opening, []
-    for today, (received, demand) in enumerate(days):
+    first = min(days)
+    queue, out = [first - age] * opening, {}
+    for today in range(first - age, max(days) + 1):
+        received, demand = days.get(today, (0, 0))
         fresh = [day for day in queue if day > today - life]
         spoiled = len(queue) - len(fresh)
         queue = fresh + [today] * received
         sold = len(queue[:demand])
         queue = queue[sold:]
-        out.append((len(queue), today - queue[0] if queue else 0, spoiled, sold, demand - sold))
+        if today in days:
+            out[today] = (len(queue), today - queue[0] if queue else 0, spoiled, sold, demand - sold)
     return out
 
 
-def test_fifo_matches_lot_simulation(spark):
-    rng = random.Random(7)
-    rows, expected = [], {}
-    for s in range(40):
-        life, opening, n = rng.randint(1, 6), rng.randint(0, 12), rng.randint(1, 25)
-        days = [(rng.choice([0, 0, rng.randint(1, 15)]), rng.randint(0, 8)) for _ in range(n)]
-        for t, (r, d) in enumerate(days):
-            rows.append((f"S{s % 3}", f"P{s}", t, r, d, life, opening))
-        for t, v in enumerate(_brute(days, life, opening)):
-            expected[(f"S{s % 3}", f"P{s}", t)] = v
-    ledger = spark.createDataFrame(
-        rows, "store_id string, product_id string, day int, received long, demand long, "
-              "life long, opening long")
-    for fn in (fifo_age,):
-        got = {(r["store_id"], r["product_id"], r["day"]): tuple(r[c] for c in OUT_FIELDS)
-               for r in fn(ledger, ["store_id", "product_id"], "day", "received", "demand",
-                           "life", "opening").collect()}
-        assert got == expected, fn.__name__
-
-
-def test_fifo_series_split_across_arrow_batches(spark):
-    """Tiny Arrow batches cut series mid-way; the carry-over must stitch them."""
-    rng = random.Random(11)
+def _series(rng, n, dense=True, start=0):
+    days = {}
+    for t in range(start, start + n):
+        if dense or rng.random() < 0.5 or t == start:
+            days[t] = (rng.choice([0, 0, rng.randint(1, 15)]), rng.randint(0, 8))
+    return days, rng.randint(1, 40 if rng.random() < 0.2 else 6), rng.randint(0, 12)
+
+
+def _check(spark, series, **options):
     rows, expected = [], {}
-    for s in range(12):
-        life, opening, n = rng.randint(1, 5), rng.randint(0, 9), rng.randint(5, 20)
-        days = [(rng.choice([0, rng.randint(1, 9)]), rng.randint(0, 6)) for _ in range(n)]
-        for t, (r, d) in enumerate(days):
-            rows.append(("S", f"P{s:02d}", t, r, d, life, opening))
-        for t, v in enumerate(_brute(days, life, opening)):
-            expected[("S", f"P{s:02d}", t)] = v
-    ledger = spark.createDataFrame(
-        rows, "store_id string, product_id string, day int, received long, demand long, "
-              "life long, opening long").repartition(1)
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        got = {(r["store_id"], r["product_id"], r["day"]): tuple(r[c] for c in OUT_FIELDS)
-               for r in fifo_age(ledger, ["store_id", "product_id"], "day", "received", "demand",
-                                 "life", "opening").collect()}
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    for s, (days, life, opening, age) in enumerate(series):
+        rows += [(f"S{s % 3}", f"P{s}", t, r, d, life, opening if t == min(days) else 999, age) for t, (r, d) in days.items()]
+        expected |= {(f"S{s % 3}", f"P{s}", t): v for t, v in _brute(days, life, opening, age).items()}
+    random.Random(1).shuffle(rows)
+    out = fifo_age(spark.createDataFrame(rows, LEDGER), ["store_id", "product_id"], "day", "received", "demand", "life", "opening", "age", **options)
+    assert dict(out.dtypes)["day"] == "int"
+    got = {(r["store_id"], r["product_id"], r["day"]): tuple(r[c] for c in OUT_FIELDS) for r in out.collect()}
     assert got == expected
+    return out
+
+
+@pytest.mark.parametrize(("piece_days", "split"), [(1, False), (3, True), (32, False)])
+def test_fifo_matches_unit_simulation_however_series_are_cut(spark, piece_days, split):
+    rng = random.Random(7)
+    series = [(*_series(rng, rng.randint(1, 60), dense=s % 2 == 0, start=rng.choice([0, 0, -40, 1000])), 1 + s % 4) for s in range(40)]
+    series = [(days, life, opening, min(age, life)) for days, life, opening, age in series]
+    _check(spark, series, piece_days=piece_days, split=split)
+
+
+def test_one_series_over_many_tasks_without_python(spark):
+    rng = random.Random(11)
+    days = {t: (rng.choice([0, 0, 0, rng.randint(1, 25)]), rng.randint(0, 9)) for t in range(700)}
+    out = _check(spark, [(days, 9, 30, 2)], piece_days=16, split=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+    assert any("REPARTITION_BY_COL" in line and "piece" in line for line in plan.splitlines())  # its pieces are dealt out over tasks
+
+
+def test_unlisted_defaults_and_empty_ledger(spark):
+    df = spark.createDataFrame([("S", "P", 0, 0, 1, 1, 5, 0), ("S", "P", 1, 2, 1, 1, 5, 0)], LEDGER)
+    got = fifo_age(df, ["store_id", "product_id"], "day", "received", "demand", "life", "opening").orderBy("day").collect()
+    assert [tuple(r)[3:] for r in got] == [(0, 0, 5, 0, 1), (1, 0, 0, 1, 0)]  # opening stock came the day before, lives one day
+    assert fifo_age(df.limit(0), ["store_id", "product_id"], "day", "received", "demand", "life", "opening").collect() == []
+
+
+def test_ledger_of_stored_facts_is_not_shuffled(spark):
+    plan = QUERIES["fifo_aging"](spark, SMOKE_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "lineitem" not in plan
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert all("(product_id" in line for line in moved) and len(moved) <= 1  # at most the products' shelf lives
