@@ -17,7 +17,7 @@ from shelfrisk.functions import calendar, scores
 from shelfrisk.operators import conform, fifo, insights, quality, risk, serving, velocity
 from shelfrisk.plans.warehouse import Warehouse
 from shelfrisk.session import configure, scratch_path
-from shelfrisk.sources import domain, lake, schemas
+from shelfrisk.sources import domain, files, lake, schemas
 from shelfrisk.sources import events as event_source
 from shelfrisk.sources.tables import read_table
 from shelfrisk.streaming import events, job
@@ -545,19 +545,19 @@ def event_enrich(spark, sf_dir):
     return events.validate_and_enrich(event_source.event_records(spark, sf_dir))
 
 
-_STREAM_LAKES: dict[tuple[str, str], job.Lake] = {}
+_STREAM_LAKES: dict[tuple[str, str, str], job.Lake] = {}
 
 
 def stream_lake(spark, sf_dir) -> job.Lake:
-    """Run the event stream over the records (as files) once per session and
+    """Run the event stream over the enveloped records (as files) once per session and state of the
     input; return its lake."""
     configure(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, files.fingerprint(spark, [f"{sf_dir.rstrip('/')}/events.parquet"]))
     if key not in _STREAM_LAKES:
         source = scratch_path(spark, "stream-source")
-        event_source.event_records(spark, sf_dir).select("value").write.mode("overwrite").text(source)
+        event_source.envelope_lines(event_source.event_records(spark, sf_dir)).select("value").write.mode("overwrite").text(source)
         lake = job.Lake(scratch_path(spark, "lake"))
-        q = job.start(spark, source, lake, scratch_path(spark, "stream-checkpoint"))
+        q = job.start(spark, source, lake, scratch_path(spark, "stream-checkpoint"), enveloped=True)
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
@@ -573,9 +573,9 @@ def stream_good(spark, sf_dir):
 
 @query("stream_rejects")
 def stream_rejects(spark, sf_dir):
-    """Rejected records per reason, read back from the error sink."""
+    """Rejected records by reason and payload as received, read back from the quarantine."""
     return (job.read_rejects(spark, stream_lake(spark, sf_dir))
-            .groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
+            .groupBy("reason", "raw").agg(F.count(F.lit(1)).alias("n")))
 
 
 @query("stream_summary")

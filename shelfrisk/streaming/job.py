@@ -1,11 +1,11 @@
 """Structured Streaming job: JSON records -> validated, enriched bronze lake.
 
-    readStream.text(source)           one JSON record per line, oldest first
+    readStream.text(source)           one record per line, oldest first: an event, or an envelope around its base64 text
       -> foreachBatch(split_and_deliver)
-           tag each record with its reason (one parse, persisted for the batch)
+           open envelopes; tag each record with its reason (one parse, persisted for the batch)
            good  -> enrich -> range-partitioned and sorted by (store_id, event_ts, event_id)
                     -> gzip JSON under bronze/stream/event_type=../dt=../batch_id=..
-           bad   -> (reason, raw) JSON under bronze/stream/_errors/batch_id=..
+           bad   -> (reason, raw: the payload as received) JSON under bronze/stream/_errors/batch_id=..
            summary (received, delivered, rejected) under bronze/stream/_summary/batch_id=..
 
 Every sink of a batch is written with dynamic partition overwrite keyed by
@@ -35,7 +35,7 @@ GOOD_SCHEMA = StructType([
     StructField("units", LongType()), StructField("unit_price", DoubleType()),
     StructField("on_hand_qty", LongType()), StructField("received_qty", LongType()),
     StructField("event_date", StringType()), StructField("revenue", DoubleType()),
-    StructField("ingest_ts", StringType()),
+    StructField("extra", StringType()), StructField("ingest_ts", StringType()),
     StructField("event_type", StringType()), StructField("dt", StringType()),
     StructField("batch_id", LongType()),
 ])
@@ -74,15 +74,17 @@ def _overwrite(df: DataFrame, path: str, partition_cols: list[str], fmt: str = "
     w.partitionBy(*partition_cols).format(fmt).save(path)
 
 
-def split_and_deliver(lake: Lake):
-    """The ``foreachBatch`` function: validate, enrich and deliver one batch."""
+def split_and_deliver(lake: Lake, enveloped: bool = False):
+    """The ``foreachBatch`` function: open, validate, enrich and deliver one batch."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        tagged = events.with_reason(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        plain = batch.withColumns({"raw": F.col("value"), "fault": F.lit(None).cast("string")})
+        received = events.opened(batch) if enveloped else plain
+        tagged = events.with_reason(received, fault_col="fault").drop("fault").persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good = (
                 events.enrich(tagged.where(F.col("reason").isNull()), with_ingest_ts=True)
-                .drop("reason")
+                .drop("reason", "raw")
                 .withColumn("ingest_ts", F.date_format("ingest_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
                 .withColumn("dt", F.col("event_date"))
                 .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -95,7 +97,7 @@ def split_and_deliver(lake: Lake):
             )
             _overwrite(good, lake.good, ["event_type", "dt", "batch_id"])
             bad = tagged.where(F.col("reason").isNotNull()).select(
-                "reason", F.col("value").alias("raw"), F.lit(batch_id).cast("bigint").alias("batch_id"))
+                "reason", "raw", F.lit(batch_id).cast("bigint").alias("batch_id"))
             _overwrite(bad, lake.errors, ["batch_id"])
             for row in bad.select("reason").limit(10).collect():  # bounded log sample
                 log.warning("batch %s reject reason: %s", batch_id, row["reason"])
@@ -113,15 +115,15 @@ def split_and_deliver(lake: Lake):
 
 def start(spark: SparkSession, source_dir: str, lake: Lake, checkpoint_dir: str,
           max_bytes_per_trigger: int = 64 << 30, available_now: bool = True,
-          processing_time: str = "60 seconds"):
-    """Start the stream over text files in ``source_dir``.
+          processing_time: str = "60 seconds", enveloped: bool = False):
+    """Start the stream over text files in ``source_dir`` (``enveloped``: of envelopes, see ``events.opened``).
 
     ``available_now`` drains what is there in micro-batches and stops (batch
     back-fill, tests); otherwise the query triggers every ``processing_time``.
     """
     records = (spark.readStream.format("text")
                .option("maxBytesPerTrigger", max_bytes_per_trigger).load(source_dir))
-    writer = (records.writeStream.foreachBatch(split_and_deliver(lake))
+    writer = (records.writeStream.foreachBatch(split_and_deliver(lake, enveloped))
               .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=processing_time)

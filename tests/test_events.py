@@ -2,7 +2,9 @@
 from __future__ import annotations
 
 import base64
+import datetime as dt
 import json
+import random
 
 import pytest
 
@@ -67,3 +69,53 @@ def test_envelopes(spark):
     coded = [base64.b64encode(json.dumps(STOCK).encode()).decode(), base64.b64encode(b"no json").decode(), "*not base64*"]
     df = spark.createDataFrame([(c,) for c in coded], "data string")
     assert [r[0] for r in df.select(events.decode_base64_json(df.data).isNull()).collect()] == [False, True, True]
+
+
+def _accepted(stamp):
+    """What the standard library's ISO parser makes of a stamp whose Z is read as +00:00: the date written, or None."""
+    try:
+        return dt.datetime.fromisoformat(stamp.replace("Z", "+00:00")).date().isoformat()
+    except ValueError:
+        return None
+
+
+def test_stamps_as_the_standard_parser_reads_them(spark):
+    dates = ["2031-03-09", "20310309", "2031-W10-7", "2031-W10", "2031W107", "2031W10", "2032-W53-7", "2031-W53-1", "2026-W53-4", "2031-W00-1", "2031-W10-0", "2031-W10-8",
+             "2031-02-29", "2032-02-29", "2031-13-01", "0000-01-01", "0001-01-01", "9999-12-31", "2031-3-9", "2031-03", "31-03-09", "2020-W01-1", "2021-W01-1"]
+    clocks = ["", "T10", "t10:00", " 10:00:00,5", "T10:00:00.123456789", "_1000", "T100000", "T100000.25", "T1000:00", "T24:00", "T23:60", "T23:59:60", "T1", "T10:0", "T10:00:00.", " ", "T"]
+    offsets = ["", "Z", "+05:30", "-0330", "+01", "+23:59:59.5", "+24:00", "+05:60", "+5", "z", " UTC"]
+    rng = random.Random(4)
+    stamps = sorted({d + c + o for d in dates for c in clocks for o in rng.sample(offsets, 3)} | {"", "yesterday", "2031-03-09\n10:00", "2031-03-09T10:00\n"})
+    got = spark.createDataFrame([(SALE["event_type"], json.dumps(SALE | {"event_ts": t}), t) for t in stamps], "x string, value string, stamp string")
+    read = {r.stamp: r.event_date for r in events.validate_and_enrich(got).collect()}
+    expected = {t: _accepted(t) for t in stamps}
+    assert sum(v is not None for v in expected.values()) > 100
+    assert {t: (read.get(t), v) for t, v in expected.items() if read.get(t) != v} == {}
+
+
+def test_fields_beyond_the_contract_stay(spark):
+    records = [SALE | {"till": 3, "promo": {"b": [1, 2.5, None], "a": "x"}, "note": None, "on_hand_qty": 7}, STOCK,
+               STOCK | {"units": "2", "revenue": 9.99, "event_date": "1999-01-01", "ingest_ts": 5}, SALE | {"revenue": 1, "event_date": "x", "": "empty name"}]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "record_id long, value string")
+    got = {r.record_id: r for r in events.validate_and_enrich(df).collect()}
+    assert json.loads(got[0].extra) == {"note": None, "on_hand_qty": 7, "promo": {"a": "x", "b": [1, 2.5, None]}, "till": 3}
+    assert got[0].on_hand_qty is None and got[1].extra is None
+    assert json.loads(got[2].extra) == {"revenue": 9.99, "units": "2"} and got[2].revenue is None and got[2].event_date == "2031-03-09"
+    assert json.loads(got[3].extra) == {"": "empty name"} and got[3].revenue == 4.2
+
+
+def _envelope(payload):
+    return json.dumps({"kinesis": {"data": payload, "partitionKey": "S1"}, "eventID": "x"})
+
+
+def test_envelopes_are_opened_or_told_why_not(spark):
+    good = base64.b64encode(json.dumps(SALE | {"event_id": "é"}).encode()).decode()
+    cases = [(_envelope(good), None, good), (_envelope(good[:40] + "\r\n !" + good[40:]), None, good[:40] + "\r\n !" + good[40:]),
+             (_envelope(good[:-1] if len(good) % 4 == 0 else good), "payload is not base64", good[:-1]), (_envelope("YWI"), "payload is not base64", "YWI"),
+             (_envelope("//5B"), "payload is not UTF-8 text", "//5B"), (_envelope("YWI="), "invalid json", "YWI="), (_envelope(""), "invalid json", ""),
+             (_envelope(None), "record has no payload", _envelope(None)), ("{}", "record has no payload", "{}"), ("no json", "record has no payload", "no json"),
+             (_envelope("WzFd"), "event is not a JSON object", "WzFd")]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "record_id long, value string")
+    got = events.with_reason(events.opened(df), fault_col="fault").orderBy("record_id").collect()
+    assert [(r.reason, r.raw) for r in got] == [c[1:] for c in cases]
+    assert json.loads(got[0].value)["event_id"] == "é" and got[0].value == got[1].value

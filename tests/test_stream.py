@@ -1,6 +1,7 @@
 """Stream end to end: known mix in -> exact counts out, enriched rows in the lake."""
 from __future__ import annotations
 
+import base64
 import json
 import os
 
@@ -52,3 +53,23 @@ def test_replayed_batch_replaces_its_output(spark):
     assert job.read_good(spark, lake).count() == 6 + 2
     assert job.read_rejects(spark, lake).count() == 1
     assert job.read_summary(spark, lake).where("batch_id = 7").count() == 1
+
+
+def test_enveloped_stream_keeps_extra_fields_and_quarantines_payloads(spark):
+    source = scratch_path(spark, "test-envelopes")
+    os.makedirs(source.replace("file:", ""), exist_ok=True)
+    def coded(x):
+        return base64.b64encode(json.dumps(x).encode()).decode()
+    payloads = [coded(_event(i) | {"till": i, "promo": {"code": "X"}}) for i in range(6)] + [coded(_event(7) | {"units": 0}), "YWI", "//5B", coded([1])]
+    with open(os.path.join(source.replace("file:", ""), "part-0.json"), "w") as fh:
+        fh.write("\n".join([json.dumps({"kinesis": {"data": p}}) for p in payloads] + ["garbage"]) + "\n")
+    lake = job.Lake(scratch_path(spark, "test-lake-envelopes"))
+    q = job.start(spark, source, lake, scratch_path(spark, "test-ckpt-envelopes"), enveloped=True)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    good = {r["event_id"]: r for r in job.read_good(spark, lake).collect()}
+    assert {k: json.loads(r["extra"]) for k, r in good.items()} == {f"e{i}": {"till": i, "promo": {"code": "X"}} for i in range(6)}
+    rejects = {r["raw"]: r["reason"] for r in job.read_rejects(spark, lake).collect()}
+    assert rejects == {payloads[6]: "units must be a positive integer", "YWI": "payload is not base64", "//5B": "payload is not UTF-8 text",
+                       payloads[9]: "event is not a JSON object", "garbage": "record has no payload"}
+    assert tuple(job.read_summary(spark, lake).select("received", "delivered", "rejected").first()) == (11, 6, 5)
