@@ -588,6 +588,27 @@ def stream_summary(spark, sf_dir):
     )
 
 
+SEQUENCE_BATCHES = 3
+
+
+@query("stream_sequence")
+def stream_sequence(spark, sf_dir):
+    """The order of each store's events across batches: a stream of three batches, in which one store has a
+    third of all events, numbered per store and packed on the way."""
+    configure(spark)
+    records = event_source.event_records(spark, sf_dir)
+    busy = F.when(F.col("record_id") % 3 == 0, F.regexp_replace("value", '"store_id":"S[0-9]{3}"', '"store_id":"S000"')).otherwise(F.col("value"))
+    source, lake = scratch_path(spark, "sequence-source"), job.Lake(scratch_path(spark, "sequence-lake"))
+    for part in range(SEQUENCE_BATCHES):  # a folder of files per batch; the stream takes the oldest first
+        (records.where(F.floor(F.col("record_id") / 7) % SEQUENCE_BATCHES == part).select(busy.alias("value"))
+         .coalesce(1).write.mode("append").text(source))
+    q = job.start(spark, source, lake, scratch_path(spark, "sequence-checkpoint"), max_bytes_per_trigger=1, numbered=True, pack_every=2)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return job.read_good(spark, lake).select("store_id", "store_seq", "event_id")
+
+
 # --------------------------------------------------------------------------- #
 # FIFO ageing and calendar
 # --------------------------------------------------------------------------- #

@@ -11,8 +11,9 @@
 Every sink of a batch is written with dynamic partition overwrite keyed by
 ``batch_id``, so a batch replayed after a failure replaces its own output
 instead of appending duplicates; with the checkpoint this gives
-exactly-once files. Nothing is kept between batches (stateless), matching
-the contract: no windows, no watermarks, no de-duplication by event_id.
+exactly-once files. Nothing is kept between batches but, if asked for, the
+stores' sequence numbers (``streaming.delivery``, which also packs small
+files): no windows, no watermarks, no de-duplication by event_id.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, DoubleType, StringType, StructField, StructType
 
-from shelfrisk.streaming import events
+from shelfrisk.streaming import delivery, events
 
 log = logging.getLogger(__name__)
 
@@ -35,7 +36,7 @@ GOOD_SCHEMA = StructType([
     StructField("units", LongType()), StructField("unit_price", DoubleType()),
     StructField("on_hand_qty", LongType()), StructField("received_qty", LongType()),
     StructField("event_date", StringType()), StructField("revenue", DoubleType()),
-    StructField("extra", StringType()), StructField("ingest_ts", StringType()),
+    StructField("extra", StringType()), StructField("ingest_ts", StringType()), StructField("store_seq", LongType()),
     StructField("event_type", StringType()), StructField("dt", StringType()),
     StructField("batch_id", LongType()),
 ])
@@ -65,6 +66,18 @@ class Lake:
     def summary(self) -> str:
         return f"{self.root}/bronze/stream/_summary"
 
+    @property
+    def packings(self) -> str:
+        return f"{self.root}/bronze/stream/_packings"
+
+    @property
+    def staging(self) -> str:
+        return f"{self.root}/bronze/stream/_staging"
+
+    @property
+    def totals(self) -> str:
+        return f"{self.root}/bronze/stream/_totals"
+
 
 def _overwrite(df: DataFrame, path: str, partition_cols: list[str], fmt: str = "json",
                compression: str | None = "gzip") -> None:
@@ -74,20 +87,29 @@ def _overwrite(df: DataFrame, path: str, partition_cols: list[str], fmt: str = "
     w.partitionBy(*partition_cols).format(fmt).save(path)
 
 
-def split_and_deliver(lake: Lake, enveloped: bool = False):
-    """The ``foreachBatch`` function: open, validate, enrich and deliver one batch."""
+def split_and_deliver(lake: Lake, enveloped: bool = False, numbered: bool = False, pack_every: int = 0,
+                      target_bytes: int = delivery.TARGET_BYTES):
+    """The ``foreachBatch`` function: open, validate, enrich and deliver one batch.
+
+    ``numbered``: each store's events get ``store_seq``. ``pack_every``: every so many batches the small files of
+    the batches before this one (which are committed by then) are packed to about ``target_bytes``.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         plain = batch.withColumns({"raw": F.col("value"), "fault": F.lit(None).cast("string")})
         received = events.opened(batch) if enveloped else plain
         tagged = events.with_reason(received, fault_col="fault").drop("fault").persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good = (
+            valid = (
                 events.enrich(tagged.where(F.col("reason").isNull()), with_ingest_ts=True)
                 .drop("reason", "raw")
                 .withColumn("ingest_ts", F.date_format("ingest_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
                 .withColumn("dt", F.col("event_date"))
-                .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            )
+            if numbered:
+                valid = delivery.numbered(valid, lake.staging, lake.totals, batch_id)
+            good = (
+                valid.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
                 # A store's events stay in order: range partitions on (store, ts, id)
                 # hold contiguous runs, and a store with a large share of the batch
                 # is split across several tasks instead of landing on one.
@@ -107,6 +129,8 @@ def split_and_deliver(lake: Lake, enveloped: bool = False):
                 F.count_if(F.col("reason").isNotNull()).cast("bigint").alias("rejected"),
             ).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             _overwrite(summary, lake.summary, ["batch_id"], compression=None)
+            if pack_every and batch_id and batch_id % pack_every == 0:
+                delivery.pack(batch.sparkSession, lake.good, lake.packings, GOOD_SCHEMA, batch_id - 1, target_bytes)
         finally:
             tagged.unpersist()
 
@@ -115,15 +139,15 @@ def split_and_deliver(lake: Lake, enveloped: bool = False):
 
 def start(spark: SparkSession, source_dir: str, lake: Lake, checkpoint_dir: str,
           max_bytes_per_trigger: int = 64 << 30, available_now: bool = True,
-          processing_time: str = "60 seconds", enveloped: bool = False):
-    """Start the stream over text files in ``source_dir`` (``enveloped``: of envelopes, see ``events.opened``).
+          processing_time: str = "60 seconds", **options):
+    """Start the stream over text files in ``source_dir``; ``options``: those of ``split_and_deliver``.
 
     ``available_now`` drains what is there in micro-batches and stops (batch
     back-fill, tests); otherwise the query triggers every ``processing_time``.
     """
     records = (spark.readStream.format("text")
                .option("maxBytesPerTrigger", max_bytes_per_trigger).load(source_dir))
-    writer = (records.writeStream.foreachBatch(split_and_deliver(lake, enveloped))
+    writer = (records.writeStream.foreachBatch(split_and_deliver(lake, **options))
               .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=processing_time)
@@ -131,7 +155,7 @@ def start(spark: SparkSession, source_dir: str, lake: Lake, checkpoint_dir: str,
 
 
 def read_good(spark: SparkSession, lake: Lake) -> DataFrame:
-    return spark.read.schema(GOOD_SCHEMA).json(lake.good)
+    return delivery.read_delivered(spark, lake.good, lake.packings, GOOD_SCHEMA)
 
 
 def read_rejects(spark: SparkSession, lake: Lake) -> DataFrame:
