@@ -2,7 +2,8 @@
 
 Law ``rows``: the shards' counts differ by one at most. Documents with equal texts are linked. Every document
 starts in a shard by its hash; then, in rounds, linked documents ask to move to the shard that holds most of their
-neighbours and has room, and a shard lets in as many as its capacity leaves, in an order that keeps groups together.
+neighbours and has room, and a shard lets in as many as its capacity leaves, whole groups where it can. The rounds
+end when nobody moves.
 Since neighbours are alike, a round works on counts (group, shard), of which a group of copies has one per shard, not
 one per document. Documents without links have no edge to cut and fill what is left of every shard's quota exactly.
 
@@ -23,7 +24,11 @@ from pyspark.sql.window import Window
 
 from .common import small, stored, table
 
-SHARDS, ROUNDS = 24, 8
+SHARDS = 24
+#: Bins by which a shard's room is shared out: classes of group sizes, the largest groups first, and hashes in each; rows of
+#: the small tables of labels that a file holds.
+CLASSES, HASHES, ROWS_A_FILE = 12, 32, 500_000
+BINS = CLASSES * HASHES
 
 
 def bucket_count(rows: int) -> int:
@@ -45,28 +50,73 @@ def ranked(rows: DataFrame, within: list[str], order: list[str], spread: Column,
     return placed.join(totals, [*within, "_b"]).withColumn(name, (F.col(name) + F.col("_before")).cast("long")).drop("_b", "_before")
 
 
+def asked(counts: DataFrame, free: list[int]) -> DataFrame:
+    """(group, all, shard, n, to, smaller): where the documents of a group ask to move, null if they stay.
+
+    ``all``: the group's size. A group gathers in the shard that holds most of it among those where all of it fits, else in
+    as many of the shards that hold most of it as it needs, and the others' documents are dealt between these.
+    ``smaller``: they come from fewer; only these may move in part. The sum of the squares of n therefore grows
+    with every move, and the rounds come to an end.
+    """
+    room = F.array(*[F.lit(f).cast("long") for f in free])
+
+    def free_in(h):
+        return F.element_at(room, 1 - h["less"])
+
+    held = counts.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("n", (-F.col("shard")).alias("less"))), asc=False).alias("held"),
+                                       F.sum("n").alias("all"))  # at most one entry a shard
+    held = held.withColumn("fit", F.filter("held", lambda h: h["n"] + free_in(h) >= F.col("all"))).withColumn(
+        "reach", F.transform("held", lambda h, i: F.aggregate(F.slice("held", F.lit(1), i + 1), F.lit(0).cast("long"), lambda t, o: t + o["n"] + free_in(o))))
+    needed = F.size(F.filter("reach", lambda r: r < F.col("all"))) + 1
+    held = held.withColumn("into", F.when(F.size("fit") > 0, F.slice("fit", 1, 1)).otherwise(F.slice("held", F.lit(1), needed)))
+    held = held.withColumn("open", F.filter("into", lambda h: free_in(h) > 0))
+    rows = held.select("group", "all", "into", "open", F.posexplode("held").alias("place", "h"))
+    to = F.try_element_at("open", (F.col("place") % F.greatest(F.size("open"), F.lit(1)) + 1).cast("int"))
+    leaves = ~F.array_contains("into", F.col("h"))
+    return rows.select("group", "all", (-F.col("h.less")).alias("shard"), F.col("h.n").alias("n"), F.when(leaves, -to["less"]).alias("to"),
+                       F.coalesce(F.col("h") < to, F.lit(False)).alias("smaller"))
+
+
+def admitted(asks: dict[tuple[int, int], int], free: list[int]) -> dict[tuple[int, int], tuple[int, int]]:
+    """What each shard lets in of each bin: (let in, of all asked); bins in order, the last one in part."""
+    out, left = {}, list(free)
+    for (to, slot), n in sorted(asks.items()):
+        if left[to] > 0:
+            out[to, slot] = (min(n, left[to]), n)
+            left[to] -= min(n, left[to])
+    return out
+
+
 def propagate(counts: DataFrame, room: list[int]) -> DataFrame:
-    """(group, shard, n) of linked documents after the rounds. ``room``: each shard's capacity."""
+    """(group, shard, n) of linked documents when no more move. ``room``: each shard's capacity.
+
+    A round is two jobs with one exchange each: the asked numbers by shard and bin of groups (a fixed number of sums),
+    from which each shard's admissions follow, and the new counts. Where a bin fits in part, each of its groups does.
+    """
+    spark = counts.sparkSession
     counts = stored(counts, "labels")
-    for _ in range(ROUNDS):
-        loads = {r["shard"]: r["n"] for r in counts.groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # a number a shard
-        free = [room[s] - loads.get(s, 0) for s in range(len(room))]
-        # the shard with most of a group; one that is over its capacity or full takes nobody in
-        open_ = F.element_at(F.array(*[F.lit(f) for f in free]), F.col("shard") + 1)
-        order = F.struct(F.col("n"), -F.col("shard"))
-        target = counts.groupBy("group").agg(F.max_by("shard", F.when(open_ > 0, order)).alias("to"), F.count(F.lit(1)).alias("_k"))
-        asks = counts.join(target.filter("_k > 1 AND to IS NOT NULL"), "group").filter("shard <> to")
-        buckets = bucket_count(asks.count())
-        asks = ranked(asks.select("group", "shard", "to", "n"), ["to"], ["group", "shard"], F.xxhash64("group"), buckets, "ahead", "n")
-        left = F.element_at(F.array(*[F.lit(f) for f in free]), F.col("to") + 1) - F.col("ahead")
-        moves = stored(asks.withColumn("n", F.greatest(F.lit(0), F.least("n", left)).cast("long")).filter("n > 0").select("group", "shard", "to", "n"), "moves")
-        moved = moves.agg(F.sum("n")).first()[0]
-        if not moved:
-            break
-        change = (counts.select("group", "shard", "n").union(moves.select("group", "shard", -F.col("n")))
-                  .union(moves.select("group", F.col("to"), "n")))
-        counts = stored(change.groupBy("group", "shard").agg(F.sum("n").alias("n")).filter("n > 0"), "labels")
-    return counts
+    files = 1 + counts.count() // ROWS_A_FILE  # moves never make more rows
+    while True:
+        loads = counts.agg(*[F.coalesce(F.sum(F.when(F.col("shard") == s, F.col("n"))), F.lit(0)).alias(str(s)) for s in range(len(room))]).first()
+        free = [r - loads[s] for s, r in enumerate(room)]
+        kind = F.least(F.lit(CLASSES - 1), F.floor(F.log2("all")).cast("int"))
+        asks = asked(counts, free).withColumn("bin", ((CLASSES - 1 - kind) * HASHES + F.pmod(F.xxhash64("group"), F.lit(HASHES))).cast("int"))
+        wanted = {(r["to"], r["bin"]): r["n"] for r in asks.filter("to IS NOT NULL").groupBy("to", "bin").agg(F.sum("n").alias("n")).collect()}
+        let_in = admitted(wanted, free)
+        if not let_in:
+            return counts
+        # at most shards x bins rows: what is let in; without a row nobody is
+        shares = spark.createDataFrame([(to, slot, x, n) for (to, slot), (x, n) in let_in.items()], "to int, bin int, some long, of long")
+        shared = asks.join(F.broadcast(shares), ["to", "bin"], "left")
+        part = F.floor(F.col("n").cast("decimal(38,0)") * F.col("some") / F.col("of"))
+        going = F.when(F.col("some") == F.col("of"), F.col("n")).when(F.col("smaller"), part).cast("long")
+        moved = shared.withColumn("going", F.coalesce(going, F.lit(0).cast("long")))
+        parts = F.array(F.struct(F.col("shard"), (F.col("n") - F.col("going")).alias("n")), F.struct(F.col("to").alias("shard"), F.col("going").alias("n")))
+        after = moved.select("group", F.inline(parts)).filter("n > 0").groupBy("group", "shard").agg(F.sum("n").alias("n"))
+        new = stored(after.coalesce(files), "labels")
+        if not new.join(counts, ["group", "shard", "n"], "left_anti").limit(1).count():
+            return counts
+        counts = new
 
 
 def shards(spark: SparkSession, docs: DataFrame, k: int = SHARDS) -> DataFrame:

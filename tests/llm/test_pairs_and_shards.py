@@ -1,6 +1,7 @@
 """N-gram join, decontamination, sharding, nearest neighbours: brute force on small tables, edge cases."""
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter, defaultdict
 
@@ -187,6 +188,41 @@ def test_shards_are_even_and_keep_copies_together(spark, hot):
     assert {(r.size, r.text_crc32) for r in got if r.doc_id == 5000} == {(8, 0)}
 
 
+def cut_edges(placed):
+    """Links (pairs of documents of a group) whose documents are in different shards."""
+    of = defaultdict(list)
+    for group, shard in placed:
+        of[group].append(shard)
+    return sum(a != b for shards in of.values() for a, b in itertools.combinations(shards, 2))
+
+
+@pytest.mark.parametrize(("groups", "alone", "k"), [((3, 3, 2, 2), 10, 4), ((4, 3, 2), 0, 3), ((5, 2, 2), 3, 3), ((7, 2), 1, 2), ((6,), 3, 3)])
+def test_few_edges_are_cut(spark, groups, alone, k):
+    names = [f"copy {g}" for g, n in enumerate(groups) for _ in range(n)]
+    rows = [(i, t) for i, t in enumerate(names)] + [(100 + i, f"own {i}") for i in range(alone)]
+    got = label_shards.shards(spark, spark.createDataFrame([(*r, "c", 1.0) for r in rows], DOCS), k).collect()
+    check_shards(got, k)
+    home = {r.doc_id: r.shard for r in got}
+    cut = cut_edges([(t, home[i]) for i, t in rows if t.startswith("copy")])
+    n = len(rows)
+    quotas = [n // k + (s < n % k) for s in range(k)]
+    best = min(cut_edges(zip(names, shards, strict=True)) for shards in itertools.product(range(k), repeat=len(names))
+               if all(shards.count(s) <= quotas[s] for s in range(k)))
+    spread = cut_edges([(t, s) for g, m in enumerate(groups) for t, s in zip([f"copy {g}"] * m, itertools.cycle(range(k)))])
+    assert best <= cut <= max(best, spread)
+    assert alone < len(names) or cut == best == 0  # where there is room to move, none is cut
+
+
+def test_a_crowd_of_copies_fills_as_few_shards_as_it_needs(spark):
+    rows = [(i, "hot") for i in range(200)] + [(1000 + i, f"pair {i // 2}") for i in range(120)] + [(2000 + i, f"own {i}") for i in range(280)]
+    got = label_shards.shards(spark, spark.createDataFrame([(*r, "c", 1.0) for r in rows], DOCS), 12).collect()  # 50 to a shard
+    homes = defaultdict(set)
+    for r in got:
+        homes[r.text_crc32].add(r.shard)
+    hot = {r.text_crc32 for r in got if r.doc_id == 0}.pop()
+    assert len(homes[hot]) <= 5 and sum(len(v) > 1 for v in homes.values()) <= 3
+
+
 def test_shards_of_copies_only_few_rows_and_none(spark):
     df = spark.createDataFrame([(i, "same", "c", 1.0) for i in range(50)], DOCS)
     check_shards(label_shards.shards(spark, df, 6).collect(), 6)
