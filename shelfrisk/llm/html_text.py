@@ -6,8 +6,8 @@ and lines outside <article> and <main> that are mostly links, count as barren (l
 line lengths over windows of ``WINDOW`` lines. A stretch runs from where the sums leave 0 to the next dive (a whole window of barren lines), so
 fewer barren lines don't split it; it is text if a window in it reaches ``SURGE`` characters (a surge), headline and
 other short lines included. On a page without any surge all stretches are text. If the largest run of fertile lines
-is in an <article> or <main> element, that element's fertile lines make the main text, whatever their lengths; else all
-stretches do.
+is in an <article> or <main> element, the fertile lines of all such elements make the main text, whatever their lengths; else
+all stretches do.
 
 Defined results: null, empty and markup-less html are read as text; a page with no fertile line gives an
 empty string and 0; repeated rows each get their row; nulls in page_id and url are passed on.
@@ -37,7 +37,7 @@ MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 
 # Elements by their part in a page.
-RAW = frozenset("script style noscript template svg math iframe object canvas textarea select option title".split())
+RAW = frozenset("script style noscript template svg iframe object canvas textarea select option title".split())
 BARREN = frozenset("nav header footer aside form button dialog menu head".split())
 HEAD = frozenset("base link meta noscript script style template title".split())  # any other element ends an open head
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -183,11 +183,8 @@ def main_text(page: str | None) -> str:
     found = [lines[s:e] for s, e in stretches([x.fertile for x in lines])]
     runs = [list(run) for part in found for fertile, run in groupby(part, lambda x: x.fertile > 0) if fertile]
     best = max(runs, key=lambda run: sum(x.fertile for x in run), default=[])
-    roots = {x.root for x in best} - {0}
-    if roots:  # text beside an article doesn't belong to it
-        sizes = {r: sum(x.fertile for x in lines if x.root == r) for r in roots}
-        keep = max(sizes, key=lambda r: (sizes[r], -r))
-        chosen = [x for x in lines if x.root == keep]
+    if any(x.root for x in best):  # text beside articles doesn't belong to them
+        chosen = [x for x in lines if x.root]
     else:
         chosen = [x for part in found for x in part]
     return "\n\n".join(x.text for x in chosen if x.fertile)

@@ -269,6 +269,28 @@ def test_nearest_with_few_or_no_vectors(spark):
     assert adaptive_scan.nearest(spark, df.limit(0)).collect() == []
 
 
+def test_vectors_that_share_an_id_are_rows_of_their_own(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 1.0]), (1, [0.25, 1.0]), (0, [0.0, 1.0]), (1, [0.5, 1.0])], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in adaptive_scan.nearest(spark, df).collect())  # the last row repeats the second
+    assert got == [(0, 1, 1, 0.5), (0, 1, 1, 1.0), (0, 2, 1, 0.25), (0, 2, 1, 1.0), (0, 3, 0, 0.0), (0, 3, 0, 0.0)]
+
+
+def test_most_candidates_are_abandoned_early():
+    rng = np.random.default_rng(14)
+    x = rng.standard_normal((4000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    q, turn = x[:100], adaptive_scan.rotation(65)
+    scores = q @ x.T
+    points, asked = adaptive_scan.lifted(x, 1.0) @ turn, adaptive_scan.lifted(q, 1.0, query=True) @ turn
+    for bound in (np.sort(scores, axis=1)[:, -21], np.sort(scores[:, ::6], axis=1)[:, -21]):  # the final bound, and that of a sixth of the rows
+        i, j = adaptive_scan.survivors(points, asked, 2 - 2 * bound)
+        reach = scores >= bound[:, None]
+        kept = np.zeros_like(reach)
+        kept[i, j] = True
+        assert kept.mean() < 0.06 and not (kept & ~(scores >= bound[:, None] - 1e-9)).any()
+        assert (kept & reach).sum() >= 0.97 * reach.sum()
+
+
 def test_nearest_searches_every_dimension(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 1.0]), (20, [0.5, 1.0]), (40, [1.0, 0.0, 2.0]), (41, [3.0, 0.0, 0.0])], "vec_id long, embedding array<double>")
     got = sorted(tuple(r) for r in adaptive_scan.nearest(spark, df).collect())

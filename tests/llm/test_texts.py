@@ -192,6 +192,9 @@ def test_windows_decide_where_text_begins_and_ends():
 
 @pytest.mark.parametrize("page,text", [
     ("<div style='overflow:hidden'><article><p>one</p><div style=\"overflow: hidden\">two</div></article></div>", "one\n\ntwo"),
+    ("<div>menu text</div><article><p>" + "long " * 60 + "</p></article><nav>x</nav><p>between</p><article><h2>Second</h2><p>short</p></article>",
+     " ".join(["long"] * 60) + "\n\nSecond\n\nshort"),
+    ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be so.</p></article>", "Let x=1 be so."),
     ("<article hidden=false data-id='comments' title=\"a class='ad' role=menu\"><p data-id='comments'>one</p><p hidden=\"false\">two</p></article>", "one\n\ntwo"),
     ("<article><p>one</p><p hidden>no</p><p class = ad>no</p><p data-x=1 ID='comments'>no</p><p aria-hidden=\"true\">no</p><p hidden=''>no</p></article>", "one"),
     ("<html><head><meta charset=x><title>t</title><body><h1>T</h1><p>one</p>", "T\n\none"), ("<head><title>t</title><p>one<p>two", "one\n\ntwo"),
