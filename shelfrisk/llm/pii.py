@@ -1,9 +1,10 @@
 """Personal data by weak supervision (operator 6).
 
 Four base kinds are fixed patterns with checks. Beside them, looser candidates (national phone numbers, spelled-out
-mail addresses, IPv6 addresses, card numbers with other separators) are judged by labelers that vote yes, no or
-nothing: the strict format, a checksum, gazetteers (top-level domains, calling codes), cue words before the span, and
-its surroundings. Expectation-maximisation over the counts of all vote patterns of all documents estimates how
+mail addresses, IPv6 addresses, card numbers with other separators or a wrong check digit, and, as a fifth kind, secrets:
+values given to a name such as token or password) are judged by labelers that vote yes, no or nothing: the strict
+format, a checksum (for secrets: as many different characters as chance gives), gazetteers (top-level domains, calling codes,
+issuers' first digits, names of secrets), cue words before the span, and its surroundings. Expectation-maximisation over the counts of all vote patterns of all documents estimates how
 reliable each labeler is; the resulting probabilities train a logistic span classifier on the votes and the span's
 shape, and candidates it accepts are added to the base spans where they don't overlap.
 
@@ -26,8 +27,10 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-KINDS = ("email", "ip", "card", "phone")
-EMAIL, IP, CARD, PHONE = range(4)
+#: The base kinds, and the kind that only the method finds.
+KINDS = ("email", "ip", "card", "phone", "secret")
+EMAIL, IP, CARD, PHONE, SECRET = range(5)
+BASE = 4
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -38,11 +41,12 @@ ANY = re.compile("[0-9@]")
 
 # The looser candidates.
 LOOSE = (
-    (EMAIL, re.compile(r"(?<!\S)[\w.+-]{1,64} ?(?:\[at\]|\(at\)|\{at\}) ?[\w-]{1,63}(?: ?(?:\[dot\]|\(dot\)|\{dot\}|\.) ?[\w-]{2,63}){1,4}")),
+    (EMAIL, re.compile(r"(?<!\S)[\w.+-]++ ?(?:\[at\]|\(at\)|\{at\}) ?[\w-]++(?: ?(?:\[dot\]|\(dot\)|\{dot\}|\.) ?[\w-]{2,}+)++")),
     (IP, re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])")),
     (CARD, re.compile(r"(?<![0-9.])[0-9]{4}(?:[./][0-9]{4}){3}(?![0-9.])")),
     (PHONE, re.compile(r"(?<![\w.+-])(?:\([0-9]{2,5}\) ?|0[0-9]{1,4}[ /.-])[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}(?![\w])")),
 )
+NAMED = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]++)\s*+[=:]\s*+([\"']?)([^\s\"']{8,}+)(?:\2|(?=\s)|\Z)")
 BRACKET = re.compile(r"[\[({]at[\])}]|[0-9]")
 
 # Gazetteers and cue words (English, German, French, Spanish).
@@ -53,7 +57,10 @@ CUES = (
     frozenset("ip host server address adresse dirección serveur".split()),
     frozenset("card visa mastercard amex credit karte kreditkarte carte tarjeta".split()),
     frozenset("tel phone call fax mobile cell telefon anrufen téléphone appel teléfono móvil llamar".split()),
+    frozenset("secret token password login auth credentials passwort geheim clave secreto".split()),
 )
+SECRET_NAMES = frozenset("token secret password passwd pwd passphrase apikey key credential credentials auth bearer passwort contraseña clave jeton".split())
+HEX_OR_64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 COUNTER_CUES = frozenset("order invoice version page isbn serial figure table price art artikel seite page página número no nr".split())
 LABELERS = ("format", "checksum", "gazetteer", "context", "surroundings")
 ACCEPT = 0.5
@@ -115,9 +122,17 @@ def free_of(spans: list[tuple[int, int, int]], others: list[tuple[int, int, int]
 
 
 def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    if not BRACKET.search(text):
-        return []
-    return free_of(sorted((m.start(), kind, m.end()) for kind, pattern in LOOSE for m in pattern.finditer(text)), base)
+    found = []
+    if BRACKET.search(text):
+        found = [(m.start(), kind, m.end()) for kind, pattern in LOOSE for m in pattern.finditer(text)]
+        found += [(m.start(), CARD, m.end()) for m in DIGITS.finditer(text) if m.end() - m.start() >= 12 and 12 <= len(only_digits(m[0])) <= 19]
+    if "=" in text or ":" in text:
+        found += [(m.start(3), SECRET, m.end(3)) for m in NAMED.finditer(text) if name_parts(m[1]) & SECRET_NAMES]
+    return free_of(sorted(found), base)
+
+
+def name_parts(name: str) -> set[str]:
+    return set(re.split(r"[_-]", name.lower()))
 
 
 def votes(text: str, span: tuple[int, int, int]) -> str:
@@ -125,7 +140,8 @@ def votes(text: str, span: tuple[int, int, int]) -> str:
     start, kind, end = span
     got, digits = text[start:end], only_digits(text[start:end])
     before = [w.strip(".,:;()").lower() for w in text[max(0, start - 60) : start].split()[-5:]]
-    strict = (DOMAIN.search(got) is not None and "@" in got, IPV4.fullmatch(got) is not None, DIGITS.fullmatch(got) is not None, PLUS.fullmatch(got) is not None)[kind]
+    strict = (DOMAIN.search(got) is not None and "@" in got, IPV4.fullmatch(got) is not None, DIGITS.fullmatch(got) is not None, PLUS.fullmatch(got) is not None,
+              HEX_OR_64.fullmatch(got) is not None)[kind]
     form = "y" if strict else "-"
     if kind == CARD:
         check = "y" if luhn(digits) else "n"
@@ -133,16 +149,24 @@ def votes(text: str, span: tuple[int, int, int]) -> str:
         check = "y" if ":" in got or all(int(p[:4]) <= 255 for p in got.split(".") if p) else "n"
     elif kind == PHONE:
         check = "y" if 9 <= len(digits) <= 15 else "n"
+    elif kind == SECRET:  # written words repeat few letters; chance doesn't leave out many of a handful
+        check = "y" if len(set(got)) >= min(10, len(got) // 2) and any(c.isdigit() for c in got) else "n"
     else:
         check = "-"
     if kind == EMAIL:
         known = "y" if re.split(r"[^\w]+", got.lower().rstrip(")]}"))[-1] in DOMAINS else "n"
     elif kind == PHONE and got[0] == "+":
         known = "y" if any(digits[:n] in CALLING for n in (1, 2)) else "n"
+    elif kind == CARD:
+        known = "y" if digits[0] in "3456" else "-"
+    elif kind == SECRET:
+        known = "y"  # it has the name of a secret
     else:
         known = "-"
     cue = "y" if CUES[kind].intersection(before) else "n" if COUNTER_CUES.intersection(before) else "-"
     left, right = text[start - 1 : start], text[end : end + 1]
+    if kind == SECRET:
+        return form + check + known + cue + ("y" if left in "\"'" and left and left == right else "-")
     around = "n" if left.isalnum() or right.isalnum() else "y" if (not left or left.isspace()) and (not right or right.isspace()) else "-"
     return form + check + known + cue + around
 
@@ -246,7 +270,7 @@ def pii(spark: SparkSession, docs: DataFrame) -> DataFrame:
             for text in batch.column("_text"):
                 base, spans = all_spans(text.as_py() or "", model.value)
                 kinds = [k for _, k, _ in base]
-                rows.append([kinds.count(k) for k in range(4)] + [hashlib.sha256(listed(base).encode()).hexdigest(), listed(spans)])
+                rows.append([kinds.count(k) for k in range(BASE)] + [hashlib.sha256(listed(base).encode()).hexdigest(), listed(spans)])
             columns = [pa.array([r[i] for r in rows], pa.int64() if i < 4 else pa.string()) for i in range(6)]
             yield pa.RecordBatch.from_arrays([batch.column("_doc"), *columns],
                                              names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
