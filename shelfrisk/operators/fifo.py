@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 OUT_FIELDS = ("on_hand_qty", "oldest_batch_age_days", "spoiled_qty", "sold_qty", "unmet_demand")
 #: Days of a piece, and a number beyond all quantities, for the map that changes nothing.
-PIECE, BEYOND = 32, 1 << 60
+PIECE, BEYOND = 8, 1 << 60
 
 EVENT = "struct<day:bigint,received:bigint,demand:bigint,expired:bigint,life:bigint,listed:boolean>"
 REPLAYED = "struct<day:bigint,received:bigint,life:bigint,listed:boolean,c:bigint,floor:bigint,before:bigint,r:bigint,demand:bigint>"
