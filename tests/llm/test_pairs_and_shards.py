@@ -213,14 +213,15 @@ def test_few_edges_are_cut(spark, groups, alone, k):
     assert alone < len(names) or cut == best == 0  # where there is room to move, none is cut
 
 
-def test_a_crowd_of_copies_fills_as_few_shards_as_it_needs(spark):
+def test_a_crowd_of_copies_leaves_shards_and_pairs_stay_whole(spark):
     rows = [(i, "hot") for i in range(200)] + [(1000 + i, f"pair {i // 2}") for i in range(120)] + [(2000 + i, f"own {i}") for i in range(280)]
     got = label_shards.shards(spark, spark.createDataFrame([(*r, "c", 1.0) for r in rows], DOCS), 12).collect()  # 50 to a shard
     homes = defaultdict(set)
     for r in got:
         homes[r.text_crc32].add(r.shard)
     hot = {r.text_crc32 for r in got if r.doc_id == 0}.pop()
-    assert len(homes[hot]) <= 5 and sum(len(v) > 1 for v in homes.values()) <= 3
+    assert 4 <= len(homes[hot]) <= 9  # of the 12 that hashing puts it into; four are the least
+    assert sum(len(v) > 1 for v in homes.values()) <= 6
 
 
 def test_shards_of_copies_only_few_rows_and_none(spark):
