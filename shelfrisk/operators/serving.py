@@ -91,7 +91,7 @@ def kpis(rows: DataFrame) -> DataFrame:
 def flags_by_dimension(rows: DataFrame, dimension: str) -> DataFrame:
     """Flag counts per value of a dashboard dimension, missing flags as 0."""
     if dimension not in PIVOT_DIMENSIONS:
-        raise ValueError(f"unsupported dimension: {dimension}")
+        raise ValueError(f"flags can be counted by {', '.join(PIVOT_DIMENSIONS)}, not by {dimension!r}")
     counts = (
         rows.where(F.col(dimension).isNotNull())
         .groupBy(dimension).pivot("risk_flag", list(RISK_FLAGS)).agg(F.count("product_id"))
@@ -108,7 +108,7 @@ def flags_by_dimension_from_gold(gold: DataFrame, dim_table: DataFrame, key: str
     (key, flag) rows meet the dimension table instead of every gold row.
     """
     if dimension not in PIVOT_DIMENSIONS:
-        raise ValueError(f"unsupported dimension: {dimension}")
+        raise ValueError(f"flags can be counted by {', '.join(PIVOT_DIMENSIONS)}, not by {dimension!r}")
     per_key = gold.groupBy(key, "risk_flag").agg(F.count("product_id").alias("n"))
     labelled = per_key.join(dim_table.select(key, dimension), key, "left")
     counts = (
@@ -157,7 +157,7 @@ def kpis_from_gold(gold: DataFrame, products: DataFrame, scale: int = 5) -> Data
 def top_risks(rows: DataFrame, flag: str, n: int = 25) -> DataFrame:
     """Prioritised action list: the n rows with the most money at stake."""
     if flag not in FLAG_METRIC:
-        raise ValueError(f"unsupported risk flag: {flag}")
+        raise ValueError(f"only {' and '.join(FLAG_METRIC)} rows are ranked, not {flag!r}")
     metric = FLAG_METRIC[flag]
     return (
         rows.where(F.col("risk_flag") == flag)
