@@ -12,9 +12,11 @@ Signatures are grouped task by task first, and of a group of copies or near copi
 to the signature's own partition, the others to salted ones. A document must share a known number of
 signatures to have a partner; those that share fewer are dropped, and so are each document's commonest
 signatures, as many as leave at least one that it shares with every partner. Within a signature all members are
-compared with the one that shares most (a star); members that remain in different components are then
-compared with the next ones until every signature is settled. Bit maps exclude pairs whose sets must
-differ too much; the others are verified on the exact word sequences.
+compared with the one that shares most (a star). Signatures whose members remain in different components are
+refined: their members are dealt by the rarest elements of their sets, and two of them meet only where the first
+element they share leaves room for the overlap they need, so a family that shares a passage or an original is
+not compared pair by pair. Bit maps exclude pairs whose sets must differ too much; the others are verified on the
+exact word sequences.
 
 Defined results: a null, empty or word-less text has the empty set and no links; with fewer words than
 ``WORDS`` the whole sequence is the one shingle; a null doc_id takes part like any other row and has
@@ -29,7 +31,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -45,6 +47,8 @@ N2, K2 = 2, 1
 BAND, SPARE = 1.5, 0.15
 #: The band number of prefix elements; bits of an owner's text hash (equal hashes are told apart by MD5).
 PREFIX, TID_BITS = 255, 40
+#: Ratio of the size classes in which members of open signatures meet.
+CLASS = 1.05
 #: Signatures grouped at once in a task, and bytes of text hashed at once.
 BLOCK, PIECE = 2_000_000, 1 << 20
 
@@ -448,6 +452,70 @@ def candidates(shared: DataFrame) -> DataFrame:
     return member.join(alike.groupBy("n", "x", "y").agg(F.min("sig").alias("sig")).select("sig"), "sig")
 
 
+def _elements(batches):
+    """(id, e): the shingle hashes of each text."""
+
+    def block(ids: list[bytes], sets: list[np.ndarray]) -> pa.RecordBatch:
+        owner = np.repeat(np.arange(len(ids)), [len(x) for x in sets])
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()).take(pa.array(owner)), pa.array(np.concatenate(sets).view(np.int64))], names=["id", "e"])
+
+    ids, sets, held = [], [], 0
+    for batch in batches:
+        for key, text in zip(batch.column("id").to_pylist(), _texts(batch.column("text")), strict=True):
+            ids.append(key)
+            sets.append(shingle_set(text))
+            held += len(sets[-1])
+            if held >= BLOCK // 4:
+                yield block(ids, sets)
+                ids, sets, held = [], [], 0
+    if ids:
+        yield block(ids, sets)
+
+
+def overlap_needed(n: Column, other: Column) -> Column:
+    """The fewest elements that similar sets of these sizes share."""
+    p, q = LIMIT
+    return F.ceil((n + other) * p / (p + q)).cast("int")
+
+
+def size_class(n: Column) -> Column:
+    return F.floor(F.log(n) / math.log(CLASS)).cast("int")
+
+
+def refined_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): pairs of members that may still be similar, by the first of their rarest elements that they share.
+
+    ``members``: (key, c), texts of open signatures and their components; pairs within one are left out. Elements are
+    ordered by the number of members that hold them. Of two similar sets the first common element stands at places i
+    and j with at least the needed overlap from there on, so the larger one is looked up, in each class of sizes that
+    a smaller partner may have, under as many of its first elements as that class allows. Where one component holds
+    most members of an element, they meet only those of other components.
+    """
+    p, q = LIMIT
+    rows = texts.join(members.select("key"), "key", "left_semi").select(F.unhex("key").alias("id"), "text")
+    rows = stored(rows.mapInArrow(_elements, "id binary, e long"), "elements")
+    held = rows.join(rows.groupBy("e").agg(F.count(F.lit(1)).alias("m")), "e")
+    placed = held.withColumn("i", F.row_number().over(Window.partitionBy("id").orderBy("m", "e"))).filter("m > 1")
+    who = members.join(texts.select("key", "size"), "key").select(F.unhex("key").alias("id"), F.col("size").cast("int").alias("n"), "c")
+    n, i = F.col("n"), F.col("i")
+    # the larger set's places reach furthest, towards its smallest partner
+    smallest = F.ceil(n * p / q).cast("int")
+    placed = stored(placed.join(who, "id").filter(i <= n - overlap_needed(n, smallest) + 1).select("e", "id", "n", "i", "c"), "placed")
+    parts = placed.groupBy("e", "c").agg(F.count(F.lit(1)).alias("m"))
+    mixed = parts.groupBy("e").agg(F.max(F.struct("m", "c")).getField("c").alias("most"), F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
+    placed = stored(placed.join(mixed.select("e", "most"), "e").withColumn("of_most", F.col("c") == F.col("most")).drop("most"), "placed")
+    # members of an element's largest component (side 1) look up the others only, the others look up all
+    small_side = (placed.filter(i <= n - overlap_needed(n, n) + 1).withColumn("side", F.explode(F.expr("if(of_most, array(0), array(0, 1))")))
+                  .select("e", size_class(n).alias("k"), "side", F.col("id").alias("b"), n.alias("bn"), i.alias("bi"), F.col("c").alias("bc")))
+    large_side = placed.withColumn("k", F.explode(F.sequence(size_class(smallest), size_class(n))))
+    least = F.greatest(smallest, F.floor(F.pow(F.lit(CLASS), F.col("k"))).cast("int") - 1)
+    large_side = (large_side.filter(i <= n - overlap_needed(n, least) + 1)
+                  .select("e", "k", F.col("of_most").cast("int").alias("side"), F.col("id").alias("a"), "n", "i", "c"))
+    found = (large_side.join(small_side, ["e", "k", "side"]).filter("c <> bc AND (n > bn OR n = bn AND a > b)")
+             .filter((F.col("bn") * q >= n * p) & (F.least(n - i, F.col("bn") - F.col("bi")) + 1 >= overlap_needed(n, F.col("bn")))))
+    return found.select(F.lower(F.hex("a")).alias("a"), F.lower(F.hex("b")).alias("b")).distinct()
+
+
 def similar_groups(spark: SparkSession, docs: DataFrame, shared: DataFrame) -> DataFrame:
     """(key, component) of all distinct texts that have a link. ``docs``: (_doc, _text, _tid, _md5)."""
     member = stored(candidates(shared), "candidates")
@@ -458,33 +526,28 @@ def similar_groups(spark: SparkSession, docs: DataFrame, shared: DataFrame) -> D
              .withColumnRenamed("_md5", "key").mapInArrow(_sketched, "key string, tid long, text string, sketch binary, size long"))
     texts = stored(texts, "texts")
     keys = texts.select("tid", "key", "size")
-    # in a group of near copies the original shares most and comes first
-    member = (member.join(keys, "tid").groupBy("sig", "key", "size").agg(F.max("weight").alias("weight"))
-              .withColumn("at", F.row_number().over(Window.partitionBy("sig").orderBy(F.desc("weight"), "key"))))
-    member = stored(member.select("sig", "key", "size", "at"), "member")
-    pairs = stored(spark.createDataFrame([], "a string, b string"), "pairs")
-    links = stored(spark.createDataFrame([], "a string, b string"), "verified")
-    group = spark.createDataFrame([], "key string, component string")
-    # In each round some members of a signature, the weightiest first, are compared with those that come after them
-    # and aren't in their component yet, until all signatures are settled.
-    first, after, (p, q) = 1, 2, LIMIT
-    while True:
-        placed = member.join(group, "key", "left").withColumn("c", F.coalesce("component", "key"))
-        open_ = (placed.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("n"))
-                 .filter("lo <> hi").filter(F.col("n") > first).select("sig"))
-        placed = stored(placed.join(open_, "sig").select("sig", "key", "size", "c", "at"), "open")
-        if not placed.limit(1).count():
-            return group
-        center = placed.filter(F.col("at").between(first, after - 1)).select(
-            "sig", F.col("key").alias("b"), F.col("size").alias("bsize"), F.col("c").alias("bc"), F.col("at").alias("bat"))
-        found = (placed.join(center, "sig").filter("at > bat AND c <> bc")
-                 .filter(F.least("size", "bsize") * q >= F.greatest("size", "bsize") * p).select(F.col("key").alias("a"), "b").distinct())
-        found = stored(found.join(pairs, ["a", "b"], "left_anti").select("a", "b"), "pairs")
-        pairs, first, after = pairs.unionByName(found), after, after + max(1, (after - 1))
-        more = stored(links_among(found, texts), "verified")
-        if more.limit(1).count():
-            links = links.unionByName(more)
-            group = components(links)
+    member = stored(member.join(keys, "tid").groupBy("sig", "key", "size").agg(F.max("weight").alias("weight")), "member")
+    # in a group of near copies the original shares most and is the center of the star
+    center = (member.groupBy("sig").agg(F.max(F.struct("weight", "key", "size")).alias("center"))
+              .select("sig", F.col("center.key").alias("b"), F.col("center.size").alias("bsize")))
+    p, q = LIMIT
+    star = stored(member.join(center, "sig").select("sig", "key", "size", "b", "bsize"), "star")
+    pairs = star.filter("key <> b").filter(F.least("size", "bsize") * q >= F.greatest("size", "bsize") * p).select(F.col("key").alias("a"), "b").distinct()
+    pairs = stored(pairs, "pairs")
+    links = stored(links_among(pairs, texts), "verified")
+    group = components(links)
+    placed = star.join(group, "key", "left").select("sig", "key", "b", F.coalesce("component", "key").alias("c"))
+    open_ = placed.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("n")).filter("lo <> hi AND n > 2").select("sig")
+    placed = stored(placed.join(open_, "sig").select("key", "b", "c").distinct(), "open")
+    if not placed.limit(1).count():
+        return group
+    found = refined_pairs(stored(placed.select("key", "c").distinct(), "members"), texts)
+    # only members of one signature's star, not compared yet
+    stars = placed.select("key", F.col("b").alias("of"))
+    both = found.join(stars.withColumnRenamed("key", "a"), "a").join(stars.withColumnRenamed("key", "b"), ["b", "of"]).select("a", "b").distinct()
+    known = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    more = stored(links_among(stored(both.join(known, ["a", "b"], "left_anti"), "pairs"), texts), "verified")
+    return components(links.unionByName(more)) if more.limit(1).count() else group
 
 
 def prepared(docs: DataFrame) -> DataFrame:

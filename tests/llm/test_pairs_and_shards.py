@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -56,6 +57,27 @@ def test_ngram_join_matches_brute_force(spark):
     assert sorted(map(tuple, got.collect())) == sorted(brute_groups(rows))
 
 
+def test_family_around_an_original_is_exact(spark):
+    """Most members are too far from the original to link with it; some link with each other through shared edits."""
+    rng = random.Random(23)
+    base = [f"w{i}" for i in range(90)]
+    edits = [(rng.randrange(90), f"x{i}") for i in range(40)]
+    docs = []
+    for _ in range(240):
+        words = list(base)
+        for at, word in rng.sample(edits, rng.randint(1, 9)) if rng.random() < 0.7 else edits[:6] + rng.sample(edits, 2):
+            words[at] = word
+        for _ in range(rng.randint(0, 2)):
+            words[rng.randrange(90)] = f"y{rng.random()}"
+        docs.append(" ".join(words[: rng.choice([90, 90, 84, 78])]))
+    docs += [" ".join(base)] + [" ".join(base[:40] + [f"z{i}-{j}" for j in range(rng.randint(30, 60))]) for i in range(60)]
+    rows = [(i, t) for i, t in enumerate(docs)]
+    expected = brute_groups(rows)
+    assert len({c for _, _, c in expected}) > 80 and max(Counter(c for _, _, c in expected).values()) > 20
+    got = ngram_join.ngram_jaccard_join(spark, spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+
+
 def test_ngram_join_long_text_one_word_and_empty_table(spark):
     long = " ".join(f"t{i}" for i in range(300_000))
     rows = [(3, long), (2, long + " end"), (9, "x" * 3_000_000), (5, "x" * 3_000_000 + "y"), (None, "a b c d e f"), (4, "a b c d e f")]
