@@ -170,8 +170,8 @@ def top_risks(rows: DataFrame, flag: str, n: int = 25) -> DataFrame:
 def daily_trend(gold: DataFrame) -> DataFrame:
     """Flag counts per day (dates as ISO text), ordered by day and flag."""
     return (
-        gold.groupBy(F.col("snapshot_date").cast("string").alias("snapshot_date"), "risk_flag")
-        .agg(F.count(F.lit(1)).alias("n"))
+        gold.groupBy("snapshot_date", "risk_flag").agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("snapshot_date", F.col("snapshot_date").cast("string"))  # of one row per day and flag
         .orderBy("snapshot_date", "risk_flag")
     )
 

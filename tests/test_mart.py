@@ -182,3 +182,54 @@ def test_sales_that_went_are_taken_back(spark, warehouse):
     warehouse.publish_gold(mart, warehouse.gold())
     warehouse.refresh_gold(mart, warehouse.sales.where(~gone), warehouse.sales.where(gone))
     assert same(mart.read().select(*risk.GOLD_COLUMNS), warehouse.gold_from(warehouse.sales.where(~gone)))
+
+
+# -- facts and mart lie where they are used -----------------------------------------------
+def test_a_fact_lands_when_it_is_first_read(spark):
+    landed = landing.land(spark, SMOKE_DIR, buckets=3)
+    written = []
+    landed._makers = {name: lambda name=name, make=make: written.append(name) or make() for name, make in landed._makers.items()}
+    assert landed.sales_keys.count() > 0 and landed.sales.count() > 0 and landed.sales.count() > 0
+    assert written == ["sales"]  # queries of the sales don't wait for the snapshot
+    assert landed.inventory.count() > 0 and landed.shelf_life.count() > 0 and written == ["sales", "inventory", "shelf_life"]
+
+
+def test_series_are_merged_and_windowed_as_they_lie(warehouse):
+    assert "Sort [" not in plan_of(warehouse.velocity())
+
+
+def test_buckets_follow_the_rows(spark):
+    shuffled, cores = int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    assert landing.bucket_count(spark, 0) == min(shuffled, 2 * cores)
+    assert landing.bucket_count(spark, 50 * landing.MOST) == 50 and landing.bucket_count(spark, 50 * landing.MOST + 1) == 51
+
+
+def test_the_mart_is_written_audited_and_read_where_the_facts_lie(spark, warehouse):
+    mart = warehouse.new_gold_mart("test-buckets")
+    staged = []
+
+    def audit(df):
+        staged.append(plan_of(quality.risk_suite(df)))
+        return quality.risk_suite(df)
+
+    mart.publish_or_raise(risk.with_computed_at(warehouse.gold()), audit)
+    assert "hashpartitioning" not in staged[0] and "Bucketed: true" in staged[0]
+    gold = mart.read()
+    twice = gold.unionByName(gold.where(F.col("on_hand_qty") == 1))
+    for df in (quality.risk_suite(gold), quality.violating_duplicates(gold, schemas.GRAIN), quality.violating_duplicates(twice, schemas.GRAIN)):
+        assert "hashpartitioning" not in plan_of(df)
+    assert quality.violating_duplicates(twice, schemas.GRAIN).count() == gold.where(F.col("on_hand_qty") == 1).count() > 0
+    generation = mart.partitions()[0].folder.rsplit("/", 1)[0]
+    assert all(f"/{generation}/snapshot_date=" in f for f in gold.inputFiles())
+    # One that knows the folders only reads the same rows, and so does a part of a generation.
+    other = Mart(spark, mart.root, mart.schema, mart.partition_col, mart.sort_cols, mart.bound_cols)
+    assert same(other.read(), gold)
+    some = mart.partitions()[3:5]
+    assert same(mart._rows(some), gold.where(F.col("snapshot_date").cast("string").isin([p.value for p in some])))
+
+
+def test_bounds_are_found_without_sorting_every_row(spark, warehouse):
+    for p in warehouse.gold_mart().partitions()[:2]:
+        day = warehouse.gold().where(F.col("snapshot_date").cast("string") == p.value)
+        assert (p.rows, p.bounds["product_id"]) == (day.count(), tuple(day.agg(F.min("product_id"), F.max("product_id")).first()))
+        assert p.bounds["stockout_risk_score"] == tuple(day.agg(F.min("stockout_risk_score"), F.max("stockout_risk_score")).first())
