@@ -28,10 +28,11 @@ from .common import table
 #: Padded widths of the length buckets; longer pieces are encoded one by one.
 WIDTHS = (4, 8, 12, 16, 24, 32, 64, 128)
 LONG = 128
-#: Distinct pieces kept by a worker (about 300 bytes each), and rows of a matrix encoded at once.
-KEPT, ROWS = 600_000, 8192
+#: Distinct pieces kept by a worker (some 500 bytes each; a worker that is reused by other stages keeps them), and rows of a
+#: matrix encoded at once.
+KEPT, ROWS = 50_000, 8192
 #: Characters of text whose new pieces are encoded together.
-AT_ONCE = 4_000_000
+AT_ONCE = 500_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 NONE = np.int32(2**31 - 1)
 

@@ -342,3 +342,18 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark):
         assert stage(spark, df, SMOKE).columns == df.columns, name
         assert stage(spark, df.limit(0), SMOKE).collect() == [], name
     assert corpus_pipeline.STAGES[-1][1](spark, df.limit(0), SMOKE).collect() == []
+
+
+def test_pieces_kept_between_texts_stay_within_their_bound():
+    """A worker is reused by other stages and keeps its pieces: texts of ever new words don't fill it."""
+    import pyarrow as pa
+
+    run = byte_bpe.encoded(byte_bpe.vocabulary_path())
+    texts = [" ".join(str(1_000_000 + i * 9000 + j) for j in range(9000)) for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array(texts)], names=["_doc", "_text"])
+    out = [row for found in run([batch]) for row in found.to_pylist()]
+    encoder = byte_bpe._ENCODERS[byte_bpe.vocabulary_path()]
+    assert len(encoder.known) <= 250_000  # of 360,000 distinct ones
+    for row, text in list(zip(out, texts, strict=True))[::13]:
+        ids = encoder.encode(text)
+        assert row["n_tokens"] == len(ids) and row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
