@@ -233,3 +233,36 @@ def test_bounds_are_found_without_sorting_every_row(spark, warehouse):
         day = warehouse.gold().where(F.col("snapshot_date").cast("string") == p.value)
         assert (p.rows, p.bounds["product_id"]) == (day.count(), tuple(day.agg(F.min("product_id"), F.max("product_id")).first()))
         assert p.bounds["stockout_risk_score"] == tuple(day.agg(F.min("stockout_risk_score"), F.max("stockout_risk_score")).first())
+
+
+def test_the_snapshot_lies_in_the_order_that_its_table_declares(spark):
+    landed = landing.land(spark, SMOKE_DIR, buckets=3)
+    for df, day in ((landed.inventory, "snapshot_date"), (landed.sales, "sale_date")):
+        for file in df.inputFiles():
+            held = [tuple(r) for r in spark.read.parquet(file).coalesce(1).select("product_id", "store_id", day).collect()]
+            assert held == sorted(held)
+    held = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None)
+    assert held in (None, "0")  # only while the snapshot is written
+
+
+def test_scores_are_rounded_without_decimal_texts(warehouse):
+    assert " round(" not in plan_of(warehouse.gold())
+
+
+def test_an_audit_that_passes_groups_no_row_by_its_day(spark, warehouse, monkeypatch):
+    gold = risk.with_computed_at(warehouse.gold())
+    exact = [tuple(r) for r in quality.risk_suite(gold).collect()]
+    monkeypatch.setattr(quality, "grain_and_row_checks", None)  # not needed
+    assert [tuple(r) for r in quality.risk_audit(gold).collect()] == exact and all(r[3] for r in exact)
+
+
+@pytest.mark.parametrize("bad", [
+    [("a", 1, 0), ("a", 1, 0)], [("a", 1, 0), ("a", 2, 0), ("a", 3, 0), ("b", 1, 0), ("b", 1, 0)], [("a", -1, 0), ("b", 1, 0)],
+    [("a", 1, -40_000), ("a", 1, -40_000)], [(None, 1, 0), (None, 1, 0)], [("a", -1, 0), (None, -1, 0)]])
+def test_the_audit_counts_what_the_suite_counts(spark, bad):
+    good = [("a", 1, d) for d in (*range(1, 200), -40_001, -39_999)]
+    df = rows(spark, *good, *bad).unionByName(spark.createDataFrame([("a", 1, None), ("a", 1, None)], LAYOUT))
+    checks = {"n >= 0": quality.below("n", 0)}
+    got, exact = quality.grain_holds(df, "t", ["k"], "day", checks), quality.grain_and_row_checks(df, "t", ["k", "day"], checks)
+    assert got.dtypes == exact.dtypes and [tuple(r) for r in got.collect()] == [tuple(r) for r in exact.collect()]
+    assert all(r["passed"] for r in exact.collect()) == (bad[0][0] is None)

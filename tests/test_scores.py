@@ -61,3 +61,25 @@ def test_sql_functions(spark):
     v = spark.sql("SELECT spoilage_risk_score(10, 2.0, 3) AS s, "
                   "stockout_risk_score(10, 5.0, 4) AS o").first()
     assert v["s"] == pytest.approx(0.4) and v["o"] == pytest.approx(0.5)
+
+
+def test_rounding_is_that_of_the_binary_value_half_away_from_zero(spark):
+    import math
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from shelfrisk.functions.numeric import round_half_away
+
+    rng = random.Random(3)
+    given = [0.49999999999999994, 0.5, -0.5, 1.5, 2.5, -2.5, -0.3, 0.0, 4503599627370495.5, 4503599627370496.0, 9007199254740993.0, -1e300, 0.285, 1.005, 2.675]
+    given += [math.nextafter(k + 0.5, to) for k in (0, 1, 2, 1000, 2**40) for to in (-math.inf, math.inf)] + [rng.uniform(-1e4, 1e4) for _ in range(2000)]
+    given += [k / 1000 + 0.0005 for k in range(300)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(given)], "i int, x double")
+    for scale in (0, 2, 3):
+        got = {r["i"]: r["y"] for r in df.select("i", round_half_away("x", scale).alias("y")).collect()}
+        for i, x in enumerate(given):
+            scaled = x * 10**scale
+            want = float(Decimal(scaled).quantize(Decimal(1), ROUND_HALF_UP) if abs(scaled) < 1e20 else scaled) / 10**scale
+            assert got[i] == want and (want or math.copysign(1, got[i]) > 0), (scale, x)
+    odd = spark.createDataFrame([(math.nan,), (math.inf,), (-math.inf,), (None,)], "x double").select(round_half_away("x", 2)).collect()
+    assert math.isnan(odd[0][0]) and [r[0] for r in odd[1:]] == [math.inf, -math.inf, None]
