@@ -186,6 +186,8 @@ class Encoder:
 
 _CLASSES: list[np.ndarray] = []
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
+#: Code points classified at once: a worker that held all of them as texts would need a hundred MB for a moment. It divides 0x800.
+BLOCK = 2048
 _CONTRACTION = re.compile("'(?:s|t|re|ve|m|ll|d)")
 
 
@@ -194,12 +196,13 @@ def classes() -> np.ndarray:
     if not _CLASSES:
         import regex
 
-        points = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
         out = np.full(0x110000, OTHER, np.uint8)
-        for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
-            for m in regex.finditer(pattern, points):
-                shift = [x + 0x800 if x >= 0xD800 else x for x in (m.start(), m.end() - 1)]
-                out[shift[0] : shift[1] + 1] = kind
+        for first in range(0, 0x110000, BLOCK):
+            if not 0xD800 <= first < 0xE000:  # surrogates
+                block = "".join(map(chr, range(first, first + BLOCK)))
+                for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+                    for m in regex.finditer(pattern, block):
+                        out[first + m.start() : first + m.end()] = kind
         _CLASSES.append(out)
     return _CLASSES[0]
 

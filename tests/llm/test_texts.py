@@ -357,3 +357,19 @@ def test_pieces_kept_between_texts_stay_within_their_bound():
     for row, text in list(zip(out, texts, strict=True))[::13]:
         ids = encoder.encode(text)
         assert row["n_tokens"] == len(ids) and row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_code_points_are_classified_without_all_of_them_in_memory(monkeypatch):
+    import tracemalloc
+
+    import regex
+
+    monkeypatch.setattr(byte_bpe, "_CLASSES", [])
+    tracemalloc.start()
+    kinds = byte_bpe.classes()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10e6  # every worker does this at once when it begins: over 100 MB before
+    for kind, pattern in ((byte_bpe.LETTER, r"\p{L}"), (byte_bpe.NUMBER, r"\p{N}"), (byte_bpe.SPACE, r"\s")):
+        for at in (*range(0, 0xD800, 7), *range(0xE000, 0x110000, 11), 0xD7FF, 0xE000, 0x7FF, 0x800, 0x10FFFF):
+            assert (kinds[at] == kind) == bool(regex.match(pattern, chr(at)))
