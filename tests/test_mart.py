@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
@@ -142,6 +143,14 @@ def test_days_come_from_the_manifest_alone(spark, warehouse):
     assert files.listed(spark, f"{mart.root}/nothing") == []
 
 
+def test_build_stamps_are_stored_as_numbers(spark, warehouse):
+    mart = warehouse.gold_mart()
+    folder = f"{mart.root}/{mart.partitions()[0].folder}"
+    stored = next(f for f, _, _ in files.listed(spark, folder) if f.endswith(".parquet"))
+    assert str(pq.read_schema(stored.removeprefix("file:")).field("computed_at").type) == "timestamp[us, tz=UTC]"  # [ns] if of 96 bits
+    assert mart.read().where("computed_at IS NULL OR computed_at > current_timestamp()").count() == 0
+
+
 # -- upkeep ---------------------------------------------------------------------------
 def same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -28,6 +28,27 @@ def test_trailing_mean_uses_zero_days(spark):
     assert got[8] == pytest.approx(2.0)
 
 
+def test_a_row_costs_the_same_whatever_the_window(spark):
+    """Two growing sums instead of a frame that is added up anew for every row; same means, also of other number types."""
+    days = [(f"S{s}", "P1", _day(i), 5) for s in range(3) for i in range(40) if (i * 7 + s) % 5]  # rows, not days, are counted
+    inv = spark.createDataFrame(days, "store_id string, product_id string, snapshot_date date, on_hand_qty int")
+    sold = [(s, p, d, (d.day * 13 + len(s)) % 9) for s, p, d, _ in days if d.day % 3]
+    for kind in ("int", "double"):
+        sales = spark.createDataFrame(sold, "store_id string, product_id string, sale_date date, units_sold int").selectExpr(
+            "store_id", "product_id", "sale_date", f"CAST(units_sold AS {kind}) AS units_sold")
+        units = {r[:3]: r[3] for r in sold}
+        for window in (1, 7, 50):
+            df = sell_through(inv, sales, window)
+            got = {(r.store_id, r.snapshot_date): r.trailing_avg_daily_sell_through for r in df.collect()}
+            for store in ("S0", "S1", "S2"):
+                own = [d for s, _, d, _ in days if s == store]
+                for i, day in enumerate(own):
+                    frame = [units.get((store, "P1", d), 0) for d in own[max(0, i - window + 1):i + 1]]
+                    assert got[store, day] == sum(frame) / len(frame)
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert kind == "double" or f"specifiedwindowframe(RowFrame, -{window - 1}, " not in plan
+
+
 def test_densify_fills_gaps_inside_each_series(spark):
     df = spark.createDataFrame([("S1", "P1", _day(0), 3), ("S1", "P1", _day(3), 4),
                                 ("S2", "P1", _day(5), 1)],
