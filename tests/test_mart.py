@@ -275,3 +275,48 @@ def test_the_audit_counts_what_the_suite_counts(spark, bad):
     got, exact = quality.grain_holds(df, "t", ["k"], "day", checks), quality.grain_and_row_checks(df, "t", ["k", "day"], checks)
     assert got.dtypes == exact.dtypes and [tuple(r) for r in got.collect()] == [tuple(r) for r in exact.collect()]
     assert all(r["passed"] for r in exact.collect()) == (bad[0][0] is None)
+
+
+# -- a mart without the stored snapshot, sorted before it is scored, described by its audit ----------
+def test_the_mart_needs_no_stored_snapshot(spark, monkeypatch):
+    w = Warehouse(spark, SMOKE_DIR)
+    monkeypatch.setattr(Mart, "_described", None)  # the audit's scans tell what the manifest says
+    mart = w.gold_mart()
+    assert "inventory" not in w.landed._made and "sales" in w.landed._made
+    assert same(w.snapshot, w.inventory) and w.snapshot.dtypes == w.inventory.dtypes
+    v = w.velocity()  # over the stored snapshot
+    stored = risk.risk(v, w.products, w.suppliers, w.shelf_life)
+    assert same(mart.read().select(*risk.GOLD_COLUMNS), stored)
+
+
+def test_rows_are_put_in_order_of_their_day_before_they_are_scored(spark):
+    w = Warehouse(spark, SMOKE_DIR)
+    plan = w.gold()._jdf.queryExecution().optimizedPlan().toString()
+    by_day = plan.index("Sort [snapshot_date")
+    assert plan.index("spoilage_risk_score") < by_day < plan.index("Window") and "Sort [snapshot_date" not in plan[by_day + 1:]
+    held = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None)
+    mart = w.gold_mart()
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) == held
+    for p in mart.partitions()[:2]:  # a file per bucket and day, its rows in order of the series
+        files_of_day = [f for f, _, _ in files.listed(spark, f"{mart.root}/{p.folder}") if f.endswith(".parquet")]
+        assert 0 < len(files_of_day) <= w.landed.buckets
+        assert sum(spark.read.parquet(f).count() for f in files_of_day) == p.rows
+
+
+def test_partitions_written_out_of_order_are_whole(spark):
+    given = [(f"k{i // 70}", i, i * 11 % 70) for i in range(700)]  # more partitions than files kept open, each back and forth
+    mart = new_mart(spark, bucket=("k", 3))
+    mart.publish_or_raise(rows(spark, *given), suite, in_order=True)
+    assert content(mart) == sorted(given) and len(mart.partitions()) == 70
+
+
+@pytest.mark.parametrize("extra", [[], [("a", 1, 0)], [("a", 1, 0), ("a", 2, 0), ("b", -3, 5)], [(None, 4, 2), (None, 4, 2)]])
+def test_the_audit_describes_partitions_as_a_scan_of_its_own_does(spark, extra):
+    df = rows(spark, *[("abc"[i % 3], i, d) for i, d in enumerate((*range(0, 90), *range(-200, -100)))], *[(k, 5, d) for k in ("a0", "b", "zz") for d in (0, 70, 500)], *extra)
+    checks = {"n >= 0": quality.below("n", 0)}
+    found, profile = quality.grain_profile(df, "t", ["k"], "day", checks, ("k", "n"))
+    assert [tuple(r) for r in found.collect()] == [tuple(r) for r in quality.grain_and_row_checks(df, "t", ["k", "day"], checks).collect()]
+    described = {p.value: (p.rows, p.bounds) for p in new_mart(spark)._described(df, "g")}
+    described_k = {p.value: (p.rows, p.bounds) for p in Mart(spark, "r", LAYOUT, "day", ("k",), ("k", "n"))._described(df, "g")}
+    assert {str(d): (n, {"n": b["n"]}) for d, (n, b) in profile.items()} == described
+    assert {str(d): v for d, v in profile.items()} == described_k
