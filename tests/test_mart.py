@@ -320,3 +320,24 @@ def test_the_audit_describes_partitions_as_a_scan_of_its_own_does(spark, extra):
     described_k = {p.value: (p.rows, p.bounds) for p in Mart(spark, "r", LAYOUT, "day", ("k",), ("k", "n"))._described(df, "g")}
     assert {str(d): (n, {"n": b["n"]}) for d, (n, b) in profile.items()} == described
     assert {str(d): v for d, v in profile.items()} == described_k
+
+
+def test_a_snapshot_is_partitioned_by_day_where_it_lies(spark, monkeypatch):
+    from shelfrisk.sources import lake
+    plans, real = [], lake._overwrite_partitions
+    monkeypatch.setattr(lake, "_overwrite_partitions", lambda df, *a: plans.append(plan_of(df)) or real(df, *a))
+    monkeypatch.setattr(Warehouse, "_instances", {})
+    one_day = catalog.QUERIES["partition_prune"](spark, SMOKE_DIR)
+    w = Warehouse.of(spark, SMOKE_DIR)
+    assert "inventory" not in w.landed._made and len(plans) == 1 and "Exchange" not in plans[0] and "rebalance" not in plans[0].lower()
+    assert same(one_day, w.inventory.where(F.col("snapshot_date") == F.to_date(F.lit(catalog.LAST_SEASON_DAY))))
+
+
+def test_partitions_written_in_order_replace_only_their_own(spark):
+    from shelfrisk.sources import lake
+    path = scratch_path(spark, "test-in-order")
+    first = rows(spark, *[(f"k{i}", i, d) for d in range(90) for i in range(3)])  # more partitions than files kept open
+    lake.write_partitioned(first.coalesce(1), path, ["day"], in_order=True)
+    lake.write_partitioned(rows(spark, ("z", 1, 5), ("z", 2, 7)), path, ["day"], in_order=True)
+    got = sorted((r.k, r.n, (r.day - D0).days) for r in lake.read_partitions(spark, path).collect())
+    assert got == sorted([(f"k{i}", i, d) for d in range(90) if d not in (5, 7) for i in range(3)] + [("z", 1, 5), ("z", 2, 7)])
