@@ -75,3 +75,24 @@ def test_fused_suite_equals_separate_checks(spark):
     apart = _result(quality.union_all([quality.unique(df, "t", ["k", "d"]),
                                        quality.row_checks(df, "t", checks)]))
     assert fused == apart == {("t", "unique(k, d)"): 1, ("t", "q >= 0"): 1, ("t", "not_null(q)"): 1}
+
+
+def test_the_inventory_suites_land_no_snapshot_and_group_no_row_by_its_day(spark, monkeypatch):
+    from conftest import SMOKE_DIR
+    from shelfrisk.plans import catalog
+    from shelfrisk.plans.warehouse import Warehouse
+
+    exact, frames = quality.inventory_suite, []
+    real = quality._duplicate_groups
+    monkeypatch.setattr(quality, "grain_and_row_checks", None)  # not needed
+    monkeypatch.setattr(quality, "_duplicate_groups", lambda df, *a: frames.append(df) or real(df, *a))
+    monkeypatch.setattr(Warehouse, "_instances", {})
+    got = [tuple(r) for r in catalog.QUERIES["dq_suite_inventory"](spark, SMOKE_DIR).collect()]
+    w = Warehouse.of(spark, SMOKE_DIR)
+    assert "inventory" not in w.landed._made and len(frames) == 1  # only the copy with rows twice
+    monkeypatch.undo()
+    expected = [tuple(r) for t, df in (("fact_inventory_snapshot", w.inventory), ("fact_inventory_snapshot[seeded]", frames[0])) for r in exact(df, t).collect()]
+    assert got == expected and not all(r[3] for r in got)
+    keys = ["store_id", "product_id"]
+    spans = quality._day_spans(frames[0], keys, "snapshot_date")
+    assert "hashpartitioning" not in spans._jdf.queryExecution().executedPlan().toString()  # series are counted where they lie
