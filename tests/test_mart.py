@@ -341,3 +341,40 @@ def test_partitions_written_in_order_replace_only_their_own(spark):
     lake.write_partitioned(rows(spark, ("z", 1, 5), ("z", 2, 7)), path, ["day"], in_order=True)
     got = sorted((r.k, r.n, (r.day - D0).days) for r in lake.read_partitions(spark, path).collect())
     assert got == sorted([(f"k{i}", i, d) for d in range(90) if d not in (5, 7) for i in range(3)] + [("z", 1, 5), ("z", 2, 7)])
+
+
+def test_the_suite_over_the_mart_groups_no_row_by_its_day(spark, warehouse, monkeypatch):
+    exact = [tuple(r) for r in quality.risk_suite(warehouse.gold_table()).collect()]
+    monkeypatch.setattr(quality, "grain_and_row_checks", None)  # not needed
+    assert [tuple(r) for r in catalog.QUERIES["dq_suite_risk"](spark, SMOKE_DIR).collect()] == exact
+
+
+def test_foreign_keys_of_facts_are_counted_by_one_key_at_a_time(spark, monkeypatch):
+    given, real = [], quality.relationships
+    monkeypatch.setattr(quality, "relationships", lambda children, parents: given.extend(children) or real(children, parents))
+    monkeypatch.setattr(Warehouse, "_instances", {})
+    got = {(r["target"], r["check"]): r["violations"] for r in catalog.QUERIES["dq_relationships"](spark, SMOKE_DIR).collect()}
+    w = Warehouse.of(spark, SMOKE_DIR)
+    assert "inventory" not in w.landed._made and all(len(columns) == 1 for _, columns, _ in given) and len(given) == 9
+    for col in ("store_id", "product_id"):
+        orphans = w.inventory.where(F.col(col).endswith("7")).count()
+        assert got["fact_inventory_snapshot[seeded]", f"relationship({col})"] == orphans > 0 == got["fact_inventory_snapshot", f"relationship({col})"]
+
+
+def test_the_gate_publishes_its_own_good_build(spark, monkeypatch):
+    monkeypatch.setattr(quality, "grain_and_row_checks", None)  # not needed
+    monkeypatch.setattr(Warehouse, "_instances", {})
+    got = catalog.QUERIES["dq_gate"](spark, SMOKE_DIR).collect()
+    w = Warehouse.of(spark, SMOKE_DIR)
+    assert not w._marts  # no third copy of the gold rows
+    monkeypatch.undo()
+    faulty = {r["check"]: r["violations"] for r in quality.risk_suite(catalog.broken(risk.with_computed_at(w.gold()))).collect()}
+    assert {r["check"]: r["violations"] for r in got if r["build"] == "broken"} == faulty and sum(faulty.values()) > 0
+    assert {(r["build"], r["published"]) for r in got} == {("good", True), ("broken", False)} and {r["visible_rows"] for r in got} == {w.gold().count()}
+
+
+def test_upkeep_needs_no_stored_snapshot(spark, monkeypatch):
+    monkeypatch.setattr(Warehouse, "_instances", {})
+    got = catalog.QUERIES["risk_gold_incremental"](spark, SMOKE_DIR)
+    w = Warehouse.of(spark, SMOKE_DIR)
+    assert "inventory" not in w.landed._made and same(got, w.gold())
